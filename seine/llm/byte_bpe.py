@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import map_arrow
+from .word_tokens import Memory
 
 #: Symbols: a code point's class, with what the pattern looks ahead for.
 LETTER, NUMBER, OTHER, SHORT, LONG, GAP, SPACE_LAST, WHITE_LAST, END = range(9)
@@ -159,12 +160,11 @@ def slice_starts(codes: np.ndarray) -> np.ndarray:
 class Merger:
     """Ids of a slice by ranks, remembered as their bytes and as decimal text."""
 
-    def __init__(self, path: str, remember: int = 400_000, longest: int = 48):
+    def __init__(self, path: str, remember: int = 300_000, longest: int = 48):
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
         self.bytes_of = {v: k for k, v in self.ranks.items()}
-        self.most, self.longest = remember, longest
-        self.memory: dict[str, tuple[str, int]] = _Memory(self)
+        self.memory = Memory(lambda piece: np.array(self.ids(piece.encode()), "<u4").tobytes(), remember, longest)
 
     def ids(self, piece: bytes) -> list[int]:
         if (whole := self.ranks.get(piece)) is not None:
@@ -211,8 +211,7 @@ class Merger:
 
     def encode(self, texts: list[str]) -> Iterator[tuple[list[bytes], np.ndarray]]:
         """Per text, its slices' ids (little-endian unsigned 32-bit) and where the slices start, in code points."""
-        if len(self.memory) > self.most:
-            self.memory.clear()
+        self.memory.age()
         joined = "\0".join([*texts, ""])
         codes = np.frombuffer(joined.encode("utf-32-le"), "<u4").copy()
         ends = np.cumsum([len(t) + 1 for t in texts]) - 1
@@ -230,15 +229,10 @@ class Merger:
         return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
 
 
-class _Memory(dict):
-    def __init__(self, merger: Merger):
-        self.merger = merger
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self.merger.ids(piece.encode()), "<u4").tobytes()
-        if len(piece) <= self.merger.longest:
-            self[piece] = ids
-        return ids
+@cache
+def shared_merger(path: str) -> Merger:
+    """One merger for all tasks of a worker, so that it keeps what it remembers."""
+    return Merger(path)
 
 
 def _batches(texts: list[str], most: int) -> Iterator[tuple[int, int]]:
@@ -289,7 +283,7 @@ def encode_digest(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col:
 
 def _per_batch(docs: DataFrame, ranks: str, id_col: str, text_col: str, chars: int, run, schema: str) -> DataFrame:
     def all_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merger = Merger(ranks)
+        merger = shared_merger(ranks)
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
             texts = [x or "" for x in batch.column(1).to_pylist()]
