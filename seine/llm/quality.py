@@ -147,7 +147,7 @@ def posterior(pattern: tuple[int, ...], good: float, rates: list[tuple[float, fl
 
 
 def judge(docs: DataFrame, keep: list[str], text_col: str = "text", least: float = 0.5) -> DataFrame:
-    """The ``keep`` columns, the measures, base_failed, p_good and kept.
+    """_kept (the ``keep`` columns, whatever their names), the measures, base_failed, p_good and kept.
 
     A text with under 20 words (so a null or empty one too) or with over 30 % repeated words
     fails the base; among the rest, texts with a posterior of at least ``least`` are kept.

@@ -7,10 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .byte_bpe import encode_digest
+from .chosen_path import jaccard_classes
 from .packing import pack_documents
 from .quality import judge
 from .secrets import BASE, find_secrets
 from .shared import scratch_dir
+from .suffix_dedup import remove_repeats
 from .token_codes import read_token_codes, write_token_codes
 from .topk import exact_top_k
 from .url_filter import judge_urls, rules_frame
@@ -40,13 +42,18 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = F.col("secret_spans")
     of_kinds = lambda some: F.filter(spans, lambda s: s["kind"].isin(some))
     said = lambda x: F.array_join(F.transform(x, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
-    return out.select("doc_id", *(F.size(of_kinds([k])).cast("long").alias(f"n_{k}") for k in kinds), F.sha2(said(of_kinds(kinds)), 256).alias("base_sha256"), said(spans).alias("spans"))
+    return out.select("_kept.doc_id", *(F.size(of_kinds([k])).cast("long").alias(f"n_{k}") for k in kinds), F.sha2(said(of_kinds(kinds)), 256).alias("base_sha256"), said(spans).alias("spans"))
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), WORD_BPE, end_id=1, size=4096)
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_repeats(table(spark, sf_dir, "documents"), ["doc_id"], length=400)
+    return out.select("_kept.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), rules_frame(spark))
 
@@ -59,7 +66,11 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digest(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
-QUERIES = {f.__name__: f for f in (op2_token_codes, op3_quality_rules, op4_secret_scan, op5_best_fit_packing, op7_url_filter, op8_exact_topk, op9_byte_bpe)}
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_classes(table(spark, sf_dir, "documents"), n=5, similarity=0.8)
+
+
+QUERIES = {f.__name__: f for f in (op2_token_codes, op3_quality_rules, op4_secret_scan, op5_best_fit_packing, op6_suffix_dedup, op7_url_filter, op8_exact_topk, op9_byte_bpe, op10_jaccard_join)}
 
 ORACLE = {
     "op7_url_filter": r"""

@@ -214,25 +214,25 @@ def redact(text: str, spans: list[tuple[str, int, int]]) -> str:
 
 
 def find_secrets(docs: DataFrame, keep: list[str], text_col: str = "text", rules: tuple[Rule, ...] = RULES, redacted: bool = False) -> DataFrame:
-    """The ``keep`` columns, ``secret_spans`` (kind, start, end in code points; by start, then rule) and, if asked, ``redacted_text``.
+    """_kept (the ``keep`` columns, whatever their names), ``secret_spans`` (kind, start, end in code points; by start, then rule) and, if asked, ``redacted_text``.
 
     A null text is an empty one without spans (its redacted text stays null); null or repeated
     keys are passed on; an empty table gives no rows; columns outside ``keep`` are not read.
     """
-    rows = docs.select(*keep, F.col(text_col).alias("_text"))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]), f"secret_spans {SPANS}", *["redacted_text string"] * redacted])
+    rows = docs.select(F.struct(*keep).alias("_kept"), F.col(text_col).alias("_text"))
+    schema = ", ".join([f"_kept {rows.schema['_kept'].dataType.simpleString()}", f"secret_spans {SPANS}", *["redacted_text string"] * redacted])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(rules)
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
         for batch in batches:
-            column = batch.column(batch.num_columns - 1)
+            column = batch.column(1)
             raw = column.to_pylist()
             texts = [x or "" for x in raw]
             spans = scanner.spans(column, texts)
-            out = [*batch.columns[:-1], pa.array([[{"kind": k, "start": a, "end": b} for k, a, b in x] for x in spans], kind)]
+            out = [batch.column(0), pa.array([[{"kind": k, "start": a, "end": b} for k, a, b in x] for x in spans], kind)]
             if redacted:
                 out.append(pa.array([x and redact(x, s) for x, s in zip(raw, spans, strict=True)], pa.string()))
-            yield pa.RecordBatch.from_arrays(out, names=[*batch.schema.names[:-1], "secret_spans", *["redacted_text"] * redacted])
+            yield pa.RecordBatch.from_arrays(out, names=["_kept", "secret_spans", *["redacted_text"] * redacted])
 
     return map_arrow(rows, scan, schema)
