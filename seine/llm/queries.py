@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from .byte_bpe import encode_digest
 from .chosen_path import jaccard_classes
 from .packing import pack_documents
+from .pii import KINDS, pseudonymise
 from .quality import judge
 from .secrets import BASE, find_secrets
 from .shared import scratch_dir
@@ -20,11 +21,20 @@ from .url_filter import judge_urls, rules_frame
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
+#: For the registered query alone; a run over real data brings its own.
+PSEUDONYM_KEY = "registered query"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pseudonymise(table(spark, sf_dir, "documents"), ["doc_id"], PSEUDONYM_KEY)
+    of_kind = lambda kind: F.filter("found", lambda x: x["kind"] == kind)
+    return out.select("_kept.doc_id", "text", *(F.size(of_kind(k)).cast("long").alias(f"n_{k}") for k in KINDS))
+
+
 def op2_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "token-codes")
     write_token_codes(table(spark, sf_dir, "documents"), path, WORD_BPE, end_id=2)
@@ -70,7 +80,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(table(spark, sf_dir, "documents"), n=5, similarity=0.8)
 
 
-QUERIES = {f.__name__: f for f in (op2_token_codes, op3_quality_rules, op4_secret_scan, op5_best_fit_packing, op6_suffix_dedup, op7_url_filter, op8_exact_topk, op9_byte_bpe, op10_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op1_feistel_pseudonyms, op2_token_codes, op3_quality_rules, op4_secret_scan, op5_best_fit_packing, op6_suffix_dedup, op7_url_filter, op8_exact_topk, op9_byte_bpe, op10_jaccard_join)}
 
 ORACLE = {
     "op7_url_filter": r"""
