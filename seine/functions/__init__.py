@@ -1 +1 @@
-"""See the modules."""
+"""Column functions: URLs, scores, texts, JSON, times, and the fixed lists that they use."""
