@@ -75,6 +75,6 @@ def canonical(text: Column) -> Column:
 def field_census(text: Column) -> Column:
     """Keys of the root object, of objects under it, and of the first element of arrays: a, a.b, a[].b, [].b."""
     keys = lambda x: F.coalesce(F.json_object_keys(x), F.array().cast("array<string>"))
-    below = lambda doc, k: F.get_json_object(doc, F.concat(F.lit("$['"), k, F.lit("']")))
+    below = lambda doc, k: F.call_function("get_json_object", doc, F.concat(F.lit("$['"), k, F.lit("']")))
     under = F.flatten(F.transform(keys(text), lambda k: F.concat(F.transform(keys(below(text, k)), lambda b: F.concat(k, F.lit("."), b)), F.transform(keys(F.get_json_object(below(text, k), "$[0]")), lambda b: F.concat(k, F.lit("[]."), b)))))
     return F.concat(keys(text), under, F.transform(keys(F.get_json_object(text, "$[0]")), lambda b: F.concat(F.lit("[]."), b)))

@@ -5,9 +5,10 @@ from __future__ import annotations
 import json
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship_package
 from . import rules, urls
 
 D = lambda x: F.lit(float(x))
@@ -154,12 +155,13 @@ def score_body(body: str | None) -> tuple[float, str]:
     return min(base + 0.15 + best, 1.0), name
 
 
-@F.pandas_udf("struct<score:double,shape:string>")
 def _scored_bodies(bodies: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([score_body(x) for x in bodies], columns=["score", "shape"])
 
 
 def body_confidence(url: Column, body: Column) -> Column:
     """Struct of score and shape. JSON of any depth is walked in Python, by Arrow batches; blocked URLs get no walk's result."""
+    ship_package(SparkSession.active())
+    scored = F.pandas_udf(_scored_bodies, "struct<score:double,shape:string>")
     zero = F.struct(D(0).alias("score"), F.lit("shape_unknown").alias("shape"))
-    return F.when(urls.is_blocked_response(url), zero).otherwise(_scored_bodies(F.when(~urls.is_blocked_response(url), body)))
+    return F.when(urls.is_blocked_response(url), zero).otherwise(scored(F.when(~urls.is_blocked_response(url), body)))

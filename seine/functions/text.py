@@ -6,9 +6,10 @@ from functools import reduce
 from operator import or_
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship_package
 from . import rules, urls
 
 
@@ -100,14 +101,15 @@ def left_chars(s: Column, n: int) -> Column:
     return F.substring(s, 1, n)
 
 
-@F.pandas_udf("string")
 def _preview(values: pd.Series) -> pd.Series:
     return values.map(lambda x: x if x is None else x.encode()[:2048].decode(errors="ignore"))
 
 
 def byte_preview(s: Column) -> Column:
     """At most 2048 bytes, cut before a character that would not fit."""
-    return F.when(F.octet_length(s) <= 2048, s).otherwise(_preview(F.when(F.octet_length(s) > 2048, s)))
+    ship_package(SparkSession.active())
+    cut = F.pandas_udf(_preview, "string")
+    return F.when(F.octet_length(s) <= 2048, s).otherwise(cut(F.when(F.octet_length(s) > 2048, s)))
 
 
 def links(html: Column) -> Column:

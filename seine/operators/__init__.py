@@ -1 +1 @@
-"""See the modules."""
+"""DataFrame operators: parsing, merging, URL lists, probing, reports, schedules, routing, features."""

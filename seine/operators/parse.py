@@ -83,8 +83,8 @@ def locate_jobs(body: Column, levels: int = 3) -> Column:
     found = jsons.array_items(body)
     if levels == 0:
         return found
-    first = F.get(F.filter(F.array(*map(F.lit, JOB_ARRAYS)), lambda k: F.substring(F.ltrim(F.get_json_object(body, F.concat(F.lit("$['"), k, F.lit("']")))), 1, 1).isin("[", "{")), 0)
-    return F.coalesce(found, F.when(first.isNotNull(), locate_jobs(F.get_json_object(body, F.concat(F.lit("$['"), first, F.lit("']"))), levels - 1)))
+    first = F.get(F.filter(F.array(*map(F.lit, JOB_ARRAYS)), lambda k: F.substring(F.ltrim(F.call_function("get_json_object", body, F.concat(F.lit("$['"), k, F.lit("']")))), 1, 1).isin("[", "{")), 0)
+    return F.coalesce(found, F.when(first.isNotNull(), locate_jobs(F.call_function("get_json_object", body, F.concat(F.lit("$['"), first, F.lit("']"))), levels - 1)))
 
 
 def parse_heuristic(envelopes: DataFrame, keep: list[str], body_col: str = "raw_json") -> DataFrame:

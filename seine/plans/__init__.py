@@ -1 +1 @@
-"""See the modules."""
+"""Registered queries and the tables that they run over."""

@@ -1 +1 @@
-"""See the modules."""
+"""The stages as Structured Streaming queries."""
