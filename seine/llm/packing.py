@@ -22,7 +22,7 @@ from pyspark.sql.window import Window
 
 from ..session import map_arrow
 from .shared import task, written
-from .word_tokens import WordEncoder
+from .word_tokens import shared_encoder
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
 #: Runs up to this many are broadcast to the pieces; a longer plan is joined by shuffle.
@@ -78,7 +78,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int, id_col:
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, seen = WordEncoder(tokenizer), task(), defaultdict(int)
+        encoder, part, seen = shared_encoder(tokenizer), task(), defaultdict(int)
         last = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             out: list[list] = [[] for _ in range(6)]

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..session import map_arrow
 from .shared import partitions, task
-from .word_tokens import WordEncoder
+from .word_tokens import shared_encoder
 
 MAGIC = b"DAC1"
 #: Bits between two entries of a rank directory.
@@ -107,17 +107,18 @@ class Segment:
 def write_token_codes(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", segment_tokens: int = 1 << 20) -> None:
     """Encodes every text, appends ``end_id`` and writes segments in ascending id order.
 
-    A null text is an empty one; a null id sorts first; rows with one id sort by text. An
+    A null text is an empty one; a null id sorts first; rows with one id sort by a hash of the text (the text itself would go to the driver
+    with the sample of sort keys). An
     empty table gives a file without segments. Other columns are not read. Texts are put in
     order first and encoded after, so each is encoded once.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     n = partitions(spark)
-    ordered = rows.repartitionByRange(n, F.asc_nulls_first("doc_id"), F.asc_nulls_first("text")).sortWithinPartitions(F.asc_nulls_first("doc_id"), F.asc_nulls_first("text"))
+    ordered = rows.repartitionByRange(n, F.asc_nulls_first("doc_id"), F.xxhash64("text")).sortWithinPartitions(F.asc_nulls_first("doc_id"), F.xxhash64("text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, seq, before = WordEncoder(tokenizer), task(), 0, 0
+        encoder, part, seq, before = shared_encoder(tokenizer), task(), 0, 0
         last = np.array([end_id], "<u4").tobytes()
         doc_ids, ends, chunks, held = [], [], [], 0
 
