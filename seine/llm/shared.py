@@ -53,3 +53,8 @@ def task() -> int:
     """The number of the partition that runs."""
     context = TaskContext.get()
     return context.partitionId() if context else 0
+
+
+def text_digest(text: Column) -> Column:
+    """16 bytes that stand for a text in joins; a null text is an empty one."""
+    return F.substring(F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256)), 1, 16)

@@ -24,18 +24,18 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import map_arrow
-from .shared import written
+from .shared import text_digest, written
 
 GRAM = 64
 #: Bytes that one round of array operations takes; longer texts go in overlapping parts.
-CHUNK = 1 << 20
-SHARD_BYTES = 4 << 20
+CHUNK = 1 << 17
+SHARD_BYTES = 1 << 19
 #: Different contexts of one anchor that a shard takes; more are dealt over several.
-SHARD_CONTEXTS = 2048
+SHARD_CONTEXTS = 1024
 BASE = 0x9E3779B97F4A7C15 | 1
 BASE2 = 0xD6E8FEB86659FD93 | 1
 POSITION = np.uint64((1 << 24) - 1)
@@ -297,10 +297,6 @@ def merge_shards(shards: DataFrame) -> DataFrame:
     return map_arrow(rows, merge, "anchor long, context long, runs array<struct<lo:int,hi:int>>")
 
 
-def text_digest(text: Column) -> Column:
-    return F.substring(F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256)), 1, 16)
-
-
 def repeated_spans(docs: DataFrame, text_col: str, length: int) -> DataFrame:
     """td, spans (array of start, end in bytes; they may overlap) of every text with repeated windows."""
     texts = docs.select(text_digest(F.col(text_col)).alias("td"), F.col(text_col).alias("text")).where(F.octet_length("text") >= length)
