@@ -13,10 +13,13 @@ from . import tables as T
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
-AS_OF = F.lit("1998-06-01 00:00:00").cast("timestamp_ntz")
 AS_OF_SQL = "TIMESTAMP '1998-06-01 00:00:00'"
 
 
+def as_of():
+    return F.lit("1998-06-01 00:00:00").cast("timestamp_ntz")
+
+
 def plain_counts(sql: str) -> str:
     """``count_if`` as BIGINT, which DuckDB makes 128 bits wide."""
     out, at = "", 0
@@ -353,7 +356,7 @@ def pending_company_count(spark, sf):
 
 @query(f"WITH {T.RECORDS} SELECT domain, next_replay FROM records WHERE status = 'discovered' AND (next_replay IS NULL OR next_replay <= {AS_OF_SQL}) ORDER BY next_replay NULLS FIRST, domain LIMIT 100")
 def due_replay_queue(spark, sf):
-    return schedule.due(T.records(spark, sf), AS_OF, 100).select("domain", "next_replay")
+    return schedule.due(T.records(spark, sf), as_of(), 100).select("domain", "next_replay")
 
 
 @query(f"WITH {T.RECORDS} SELECT c.domain, CASE WHEN r.status = 'discovered' THEN 'replay' ELSE 'tier1' END route FROM companies c LEFT JOIN records r USING (domain)")
@@ -372,25 +375,25 @@ def _found(spark, sf):
 @query(f"""WITH {T.RECORDS}, {FOUND_SQL} SELECT coalesce(r.domain, f.domain) domain, CASE WHEN f.domain IS NOT NULL THEN f.api_url ELSE r.api_url END api_url, CASE WHEN f.domain IS NOT NULL THEN 'discovered' ELSE r.status END status,
 CASE WHEN f.domain IS NOT NULL THEN CAST(0.75 AS DOUBLE) ELSE r.confidence END confidence, CASE WHEN f.domain IS NOT NULL THEN {AS_OF_SQL} + INTERVAL 1 HOUR ELSE r.next_replay END next_replay, CASE WHEN f.domain IS NOT NULL THEN 0 ELSE r.consecutive_failures END consecutive_failures FROM records r FULL JOIN found f ON r.domain = f.domain""")
 def merge_discovered(spark, sf):
-    return merge.mark_discovered(T.records(spark, sf), _found(spark, sf), AS_OF).select("domain", "api_url", "status", "confidence", "next_replay", "consecutive_failures")
+    return merge.mark_discovered(T.records(spark, sf), _found(spark, sf), as_of()).select("domain", "api_url", "status", "confidence", "next_replay", "consecutive_failures")
 
 
 @query(f"""WITH {T.RECORDS}, f AS (SELECT domain FROM companies WHERE id % 2 = 1) SELECT coalesce(r.domain, f.domain) domain, CASE WHEN r.domain IS NULL THEN 'pending' WHEN f.domain IS NOT NULL AND r.consecutive_failures + 1 >= 3 THEN 'failed' ELSE r.status END status,
 CASE WHEN r.domain IS NULL THEN 1 WHEN f.domain IS NOT NULL THEN r.consecutive_failures + 1 ELSE r.consecutive_failures END consecutive_failures, CASE WHEN f.domain IS NOT NULL THEN 'timeout' ELSE r.last_error END last_error FROM records r FULL JOIN f ON r.domain = f.domain""")
 def merge_failed(spark, sf):
     failed = T.companies(spark, sf).where("id % 2 = 1").select("domain", F.lit("timeout").alias("last_error"))
-    return merge.mark_failed(T.records(spark, sf), failed, AS_OF).select("domain", "status", "consecutive_failures", "last_error")
+    return merge.mark_failed(T.records(spark, sf), failed, as_of()).select("domain", "status", "consecutive_failures", "last_error")
 
 
 @query(f"WITH {T.RECORDS} SELECT domain, status FROM records UNION ALL SELECT domain, 'pending' FROM companies WHERE id % 5 = 0 AND domain NOT IN (SELECT domain FROM records)")
 def insert_ignore(spark, sf):
-    return merge.create_pending(T.records(spark, sf), T.companies(spark, sf).where("id % 5 = 0").select("domain"), AS_OF).select("domain", "status")
+    return merge.create_pending(T.records(spark, sf), T.companies(spark, sf).where("id % 5 = 0").select("domain"), as_of()).select("domain", "status")
 
 
 @query(f"""WITH {T.RECORDS}, {FOUND_SQL} SELECT coalesce(r.domain, f.domain) domain, CASE WHEN r.domain IS NULL OR (f.domain IS NOT NULL AND r.status <> 'discovered') THEN f.api_url ELSE r.api_url END api_url,
 CASE WHEN r.domain IS NULL OR f.domain IS NOT NULL THEN 'discovered' ELSE r.status END status FROM records r FULL JOIN found f ON r.domain = f.domain""")
 def conditional_upsert(spark, sf):
-    return merge.save_probe(T.records(spark, sf), _found(spark, sf), AS_OF).select("domain", "api_url", "status")
+    return merge.save_probe(T.records(spark, sf), _found(spark, sf), as_of()).select("domain", "api_url", "status")
 
 
 @query(f"""WITH {T.RECORDS} SELECT domain, api_url, confidence FROM records WHERE NOT coalesce({contains("api_url", rules.FALSE_POSITIVES)}, false) AND NOT coalesce(confidence < 0.1, false)""")
@@ -408,7 +411,7 @@ SELECT api_url endpoint_url, 'src_' || replace(domain, '-', '') public_ref, CASE
 def backfill_sources(spark, sf):
     empty = spark.createDataFrame([], "id string, public_ref string, discovery_method string, discovery_tier string, ats_platform string, discovered_at timestamp_ntz, endpoint_url string, status string, confidence double")
     rows = T.records(spark, sf).withColumn("id", F.col("domain")).withColumn("discovered_at", F.col("next_replay"))
-    return merge.backfill_sources(rows, empty, AS_OF).select("endpoint_url", "public_ref", "discovery_method", "ats_platform", "status")
+    return merge.backfill_sources(rows, empty, as_of()).select("endpoint_url", "public_ref", "discovery_method", "ats_platform", "status")
 
 
 @query(f"""WITH {T.ITEMS}, one AS (SELECT source_id, external_id, min(title) title FROM items GROUP BY 1, 2), old AS (SELECT source_id, external_id, 'old' title, TIMESTAMP '1990-01-01 00:00:00' last_seen_at FROM one WHERE source_id % 3 = 0), new AS (SELECT source_id, external_id, title FROM one WHERE source_id % 2 = 0)
@@ -417,7 +420,7 @@ FROM old o FULL JOIN new n ON o.source_id = n.source_id AND o.external_id = n.ex
 def merge_jobs(spark, sf):
     items = T.read(spark, sf, "lineitem").join(T.read(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_name").alias("title")), "l_partkey").select(F.col("l_orderkey").alias("source_id"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string").alias("external_id"), "title").groupBy("source_id", "external_id").agg(F.min("title").alias("title"))
     old = items.where("source_id % 3 = 0").select("source_id", "external_id", F.lit("old").alias("title"), F.lit("1990-01-01 00:00:00").cast("timestamp_ntz").alias("last_seen_at"))
-    return merge.upsert_jobs(old, items.where("source_id % 2 = 0"), AS_OF)
+    return merge.upsert_jobs(old, items.where("source_id % 2 = 0"), as_of())
 
 
 # Fetch logs.
