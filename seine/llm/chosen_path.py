@@ -28,13 +28,13 @@ from pyspark.sql import functions as F
 
 from ..session import map_arrow
 from .components import components
-from .shared import task, written
+from .shared import task, text_digest, written
 
 TOKENS = 64
 #: Sets that a node may have to be compared at once, and the size of a block of a larger one.
 SMALL = 256
 DEPTH = 4
-SETS = "uid long, doc_id long, fp binary, n int, sig binary, grams binary"
+SETS = "uid long, doc_id long, fp binary, n int, sig binary, td binary"
 #: Sets go on if their min-hash tokens agree this many standard deviations below the threshold or better.
 DEVIATIONS = 4.5
 BASE = 0x9E3779B97F4A7C15 | 1
@@ -96,14 +96,14 @@ def _multipliers() -> np.ndarray:
 
 
 def min_hashes(grams: np.ndarray) -> np.ndarray:
-    """TOKENS min-hash values of 32 bits."""
+    """TOKENS min-hash values of 16 bits; different ones agree by chance once in 65,536 times."""
     least = np.full(TOKENS, (1 << 64) - 1, "u8")
     for lo in range(0, len(grams), 4096):
         own = grams[lo : lo + 4096, None] * _multipliers()
         own ^= own >> np.uint64(32)
         own *= GOLD
         least = np.minimum(least, own.min(0))
-    return (least >> np.uint64(32)).astype("<u4")
+    return (least >> np.uint64(48)).astype("<u2")
 
 
 def chance(similarity: float, depth: int) -> float:
@@ -130,25 +130,41 @@ def children(nodes: np.ndarray, signatures: np.ndarray, similarity: float) -> tu
     return mixed(mixed(nodes[at] * np.uint64(TOKENS) + token.astype("u8")) + signatures[at, token].astype("u8") * GOLD), at
 
 
+def short_grams(grams: np.ndarray) -> np.ndarray:
+    """32 bits of each hash, which is what sets hold."""
+    return np.unique((grams >> np.uint64(32)).astype("<u4"))
+
+
 def gram_sets(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
-    """A row for each document: a number of its own, its set's fingerprint, size, min-hash tokens and 32-bit grams."""
+    """A row for each document: a number of its own, its set's fingerprint, size and min-hash tokens, and its text's digest."""
 
     def embed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         uid = task() << 36
         for batch in batches:
             out: list[list] = [[] for _ in range(6)]
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for doc_id, td, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 with np.errstate(over="ignore"):
                     grams = gram_hashes(text.as_py() or "", n)
-                    short = np.unique((grams >> np.uint64(32)).astype("<u4"))
-                    row = (uid, doc_id, hashlib.blake2b(grams.tobytes(), digest_size=16).digest() if len(grams) else None, len(short), min_hashes(grams).tobytes(), short.tobytes())
+                    row = (uid, doc_id, hashlib.blake2b(grams.tobytes(), digest_size=16).digest() if len(grams) else None, len(short_grams(grams)), min_hashes(grams).tobytes(), td)
                 uid += 1
                 for column, x in zip(out, row, strict=True):
                     column.append(x)
             kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(out, kinds, strict=True)], names=["uid", "doc_id", "fp", "n", "sig", "grams"])
+            yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(out, kinds, strict=True)], names=["uid", "doc_id", "fp", "n", "sig", "td"])
+
+    return map_arrow(docs.select(F.col(id_col).cast("long").alias("doc_id"), text_digest(F.col(text_col)).alias("td"), F.col(text_col).alias("text")), embed, SETS)
+
+
+def grams_of(texts: DataFrame, n: int) -> DataFrame:
+    """(rid, text) to (rid, grams)."""
+
+    def embed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            with np.errstate(over="ignore"):
+                grams = [short_grams(gram_hashes(text.as_py() or "", n)).tobytes() for text in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(grams, pa.binary())], names=["rid", "grams"])
 
-    return map_arrow(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), embed, SETS)
+    return map_arrow(texts.select("rid", "text"), embed, "rid long, grams binary")
 
 
 def split_nodes(rows: DataFrame, similarity: float) -> DataFrame:
@@ -158,7 +174,7 @@ def split_nodes(rows: DataFrame, similarity: float) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 nodes = batch.column(0).to_numpy(zero_copy_only=False).astype("i8").view("u8")
-                signatures = np.frombuffer(b"".join(batch.column(2).to_pylist()), "<u4").reshape(-1, TOKENS)
+                signatures = np.frombuffer(b"".join(batch.column(2).to_pylist()), "<u2").reshape(-1, TOKENS)
                 with np.errstate(over="ignore"):
                     keys, at = children(nodes, signatures, similarity)
                 yield pa.RecordBatch.from_pydict({"node": pa.array(keys.view("i8")), "rid": batch.column(1).take(pa.array(at))})
@@ -222,7 +238,7 @@ def likely_members(units: DataFrame, similarity: float) -> DataFrame:
             if group.num_rows > 1:
                 ok = _counted_here(group, similarity)
                 i, j = np.nonzero(np.triu(ok))
-                signatures = np.frombuffer(b"".join(group.column(7).to_pylist()), "<u4").reshape(-1, TOKENS)
+                signatures = np.frombuffer(b"".join(group.column(7).to_pylist()), "<u2").reshape(-1, TOKENS)
                 found = np.zeros(group.num_rows, bool)
                 for lo in range(0, len(i), 1 << 15):
                     x, y = i[lo : lo + (1 << 15)], j[lo : lo + (1 << 15)]
@@ -290,7 +306,7 @@ def jaccard_classes(docs: DataFrame, n: int = 5, similarity: float = 0.8, recall
     """
     spark = docs.sparkSession
     sets = written(gram_sets(docs, n, id_col, text_col), "gram-sets")
-    leaders = sets.where("fp is not null").groupBy("fp").agg(F.min("uid").alias("rid"), F.min("doc_id").alias("first_doc"), F.count("*").alias("copies"))
+    leaders = sets.where("fp is not null").groupBy("fp").agg(F.min("uid").alias("rid"), F.min_by("td", "uid").alias("td"), F.min("doc_id").alias("first_doc"), F.count("*").alias("copies"))
     leaders = written(leaders, "leaders")
     reps = written(sets.select(F.col("uid").alias("rid"), "n", "sig").join(leaders.select("rid", "copies"), "rid"), "reps")
 
@@ -319,7 +335,10 @@ def jaccard_classes(docs: DataFrame, n: int = 5, similarity: float = 0.8, recall
     units = ends.select("node", "rid", F.pmod(F.xxhash64("rid"), blocks).cast("int").alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
     units = units.select("node", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "own", "rid")
     likely = written(likely_members(_dealt(units.join(about, "rid")), similarity), "likely")
-    full = likely.join(sets.select(F.col("uid").alias("rid"), "grams"), "rid").join(leaders.select("rid", "copies"), "rid")
+    # Grams are made again, for the sets with a likely partner alone; storing all of them would cost more than the texts.
+    needed = likely.select("rid").distinct().join(leaders.select("rid", "td"), "rid")
+    texts = docs.select(text_digest(F.col(text_col)).alias("td"), F.col(text_col).alias("text")).groupBy("td").agg(F.first("text").alias("text"))
+    full = likely.join(grams_of(texts.join(needed, "td"), n), "rid").join(leaders.select("rid", "copies"), "rid")
     links = written(verified_links(_dealt(full), similarity), "links")
 
     hung = components(links.select(F.col("rid").alias("u"), F.col("root").alias("v")))
