@@ -140,12 +140,12 @@ def alert_success(ticks: DataFrame, window: str = "5 minutes", slide: str = "1 m
 def held_alerts(alerts: DataFrame, minutes: int) -> DataFrame:
     """Stretches of consecutive low minutes that last long enough: first, last, minutes.
 
-    Minutes are the rows, not events, so the one window over all of them stays as small as a calendar.
+    Rows are minutes, not events: a year is half a million, so one ordered window holds them all.
     """
     minute = F.unix_timestamp("start").cast("long") / 60
-    island = minute.cast("long") - F.row_number().over(Window.partitionBy(F.to_date("start")).orderBy("start"))
-    out = alerts.where("low").withColumn("_i", island).groupBy(F.to_date("start").alias("day"), "_i").agg(F.min("start").alias("first"), F.max("start").alias("last"), F.count("*").alias("minutes"))
-    return out.where(F.col("minutes") >= minutes).drop("_i", "day")
+    island = minute.cast("long") - F.row_number().over(Window.orderBy("start"))
+    out = alerts.where("low").withColumn("_i", island).groupBy("_i").agg(F.min("start").alias("first"), F.max("start").alias("last"), F.count("*").alias("minutes"))
+    return out.where(F.col("minutes") >= minutes).drop("_i")
 
 
 def orphans(child: DataFrame, parent: DataFrame, keys: list[str]) -> DataFrame:
@@ -156,10 +156,16 @@ def orphans(child: DataFrame, parent: DataFrame, keys: list[str]) -> DataFrame:
 def evaluation(scored: DataFrame, score: str = "score", label: str = "label", threshold: float = 0.5) -> DataFrame:
     """Precision, recall, F1, class weight and the area under the ROC curve by ranks, ties at their mean rank.
 
-    Rows fold into counts per score first; ranks come from a running sum over distinct scores.
+    Rows fold into counts per score first. Ranks are running sums within 4,096 buckets of the
+    score's range, on top of a running sum over the buckets, so no task sorts all scores.
     """
     rows = scored.groupBy(F.col(score).alias("s")).agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("q"))
-    below = F.coalesce(F.sum("q").over(Window.orderBy("s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rows = rows.withColumn("b", F.greatest(F.lit(0), F.least(F.lit(4095), F.floor(F.col("s") * 4096))).cast("int"))
+    before = Window.unboundedPreceding
+    buckets = rows.groupBy("b").agg(F.sum("q").alias("bq"))
+    buckets = buckets.select("b", F.coalesce(F.sum("bq").over(Window.orderBy("b").rowsBetween(before, -1)), F.lit(0)).alias("lower"))
+    rows = rows.join(F.broadcast(buckets), "b")  # at most 4,096 rows
+    below = F.col("lower") + F.coalesce(F.sum("q").over(Window.partitionBy("b").orderBy("s").rowsBetween(before, -1)), F.lit(0))
     hit = lambda c: F.sum(F.when(F.col("s") >= threshold, F.col(c)).otherwise(0))
     out = rows.withColumn("wins", F.col("p") * (below + F.col("q") / 2.0)).agg(F.sum("p").alias("pos"), F.sum("q").alias("neg"), hit("p").alias("tp"), hit("q").alias("fp"), F.sum("wins").alias("wins"))
     ratio = lambda a, b: a / F.nullif(b, F.lit(0))
