@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 from operator import or_
 
@@ -112,6 +113,33 @@ def byte_preview(s: Column) -> Column:
     return F.when(F.octet_length(s) <= 2048, s).otherwise(cut(F.when(F.octet_length(s) > 2048, s)))
 
 
+def _pretty(values: pd.Series, lengths: pd.Series) -> pd.Series:
+    def one(x, n):
+        try:
+            return json.dumps(json.loads(x), indent=2, ensure_ascii=False)[:n]
+        except (TypeError, ValueError):
+            return x if x is None else x[:n]
+
+    return pd.Series([one(x, n) for x, n in zip(values, lengths, strict=True)])
+
+
+def json_preview(body: Column, n: int = 1500) -> Column:
+    """Indented JSON, or the text where it isn't JSON, cut to so many characters: for people to read."""
+    ship_package(SparkSession.active())
+    return F.pandas_udf(_pretty, "string")(body, F.lit(n))
+
+
+def trigrams(s: Column) -> Column:
+    """Distinct trigrams of a lower-cased text with two blanks before it and one behind."""
+    padded = F.concat(F.lit("  "), F.lower(s), F.lit(" "))
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(padded) - 2), lambda i: F.substring(padded, i, F.lit(3))))
+
+
+def trigram_similarity(a: Column, b: Column) -> Column:
+    """Shared trigrams over all of both."""
+    return F.size(F.array_intersect(trigrams(a), trigrams(b))) / F.size(F.array_union(trigrams(a), trigrams(b)))
+
+
 def links(html: Column) -> Column:
     """Values of href, src and action, then script redirects, in order."""
     return F.concat(F.regexp_extract_all(html, F.lit(rules.LINKS), F.lit(1)), F.regexp_extract_all(html, F.lit(rules.REDIRECTS), F.lit(1)))

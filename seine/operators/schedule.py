@@ -19,6 +19,15 @@ def due(records: DataFrame, as_of: Column, limit: int | None = None) -> DataFram
     return rows.limit(limit) if limit else rows
 
 
+def due_sources(sources: DataFrame, as_of: Column, platform: str | None = None, limit: int | None = None) -> DataFrame:
+    """Active sources whose next fetch is missing or past, earliest first, missing ones last."""
+    rows = sources.where(F.col("status").isin("active", "degraded") & (F.col("next_fetch_at").isNull() | (F.col("next_fetch_at") <= as_of)))
+    if platform:
+        rows = rows.where(F.col("ats_platform") == platform)
+    rows = rows.orderBy(F.asc_nulls_last("next_fetch_at"), "source_id")
+    return rows.limit(limit) if limit else rows
+
+
 def pending(companies: DataFrame, records: DataFrame, limit: int | None = None) -> DataFrame:
     """Companies without a record or with one that isn't discovered, oldest first."""
     rows = companies.join(records.select(F.col("domain").alias("_d"), "status"), F.col("domain") == F.col("_d"), "left").where("_d is null or status <> 'discovered'").drop("_d").orderBy("created_at", "domain")

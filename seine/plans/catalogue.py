@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import jsons, rules, scoring, text, times, urls
-from ..operators import features, merge, parse, probing, reports, routing, schedule, urllists
+from ..operators import capturing, features, merge, parse, probing, reports, routing, schedule, urllists
 from . import tables as T
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,6 +108,33 @@ def mined_accept_hosts(spark, sf):
     return reports.accept_hosts(T.captures(spark, sf))
 
 
+@query(f"""WITH {T.CAPTURES}, b AS (SELECT {API.format("url")} host FROM captures WHERE label = 0 AND url NOT IN (SELECT url FROM captures WHERE label = 1) GROUP BY 1 HAVING count(*) >= 3),
+a AS (SELECT {API.format("url")} host FROM captures WHERE label = 1 GROUP BY 1 HAVING count(DISTINCT domain) >= 2) SELECT host, 'block' AS "rule" FROM b UNION ALL SELECT host, 'accept' FROM a""")
+def mined_rules(spark, sf):
+    return capturing.mined_rules(T.captures(spark, sf))
+
+
+@query(f"WITH {T.CAPTURES}, n AS (SELECT domain, count(*) n FROM captures GROUP BY 1) SELECT domain, n, round((SELECT avg(n) FROM n), 2) mean FROM n ORDER BY n DESC, domain LIMIT 10")
+def capture_run_summary(spark, sf):
+    return capturing.run_summary(T.captures(spark, sf))
+
+
+@query(f"""WITH {T.CAPTURES}, r AS (SELECT id, {HOST.format("url")} h, CASE id % 3 WHEN 0 THEN 'Image' WHEN 1 THEN 'XHR' ELSE 'Fetch' END t, CASE WHEN id % 5 < 3 THEN 'application/json' ELSE 'text/html' END c, props || repeat(' ', CAST(id % 4 AS INT) * 100) body FROM captures WHERE event_type <> 'error')
+SELECT id, CASE WHEN h = 'api1.example.com' THEN 'fast_accept' ELSE 'shape_unknown' END notes FROM r WHERE t <> 'Image' AND h <> 'api2.example.com' AND (h = 'api1.example.com' OR (c = 'application/json' AND strlen(body) BETWEEN 200 AND 10485760))""")
+def accepted_captures(spark, sf):
+    rows = T.captures(spark, sf).select("id", "url", F.element_at(F.array(F.lit("Image"), F.lit("XHR"), F.lit("Fetch")), (F.col("id") % 3 + 1).cast("int")).alias("resource_type"), F.when(F.col("id") % 5 < 3, "application/json").otherwise("text/html").alias("content_type"), F.concat("props", F.repeat(F.lit(" "), (F.col("id") % 4 * 100).cast("int"))).alias("body"))
+    hosts = lambda h: spark.createDataFrame([(h,)], "host string")
+    return capturing.accepted(rows, hosts("api2.example.com"), hosts("api1.example.com")).select("id", "notes")
+
+
+@query(f"""WITH s AS (SELECT o_orderkey source_id, CASE WHEN o_orderkey % 6 > 0 THEN o_orderdate END next_fetch_at, CASE o_orderstatus WHEN 'F' THEN 'active' WHEN 'O' THEN 'degraded' ELSE 'retired' END status, o_orderpriority ats_platform FROM orders)
+SELECT source_id, next_fetch_at FROM s WHERE status IN ('active', 'degraded') AND (next_fetch_at IS NULL OR next_fetch_at <= {AS_OF_SQL}) ORDER BY next_fetch_at NULLS LAST, source_id LIMIT 200""")
+def due_source_queue(spark, sf):
+    status = F.when(F.col("o_orderstatus") == "F", "active").when(F.col("o_orderstatus") == "O", "degraded").otherwise("retired")
+    rows = T.read(spark, sf, "orders").select(F.col("o_orderkey").alias("source_id"), F.when(F.col("o_orderkey") % 6 > 0, F.col("o_orderdate")).alias("next_fetch_at"), status.alias("status"), F.col("o_orderpriority").alias("ats_platform"))
+    return schedule.due_sources(rows, as_of(), limit=200).select("source_id", "next_fetch_at")
+
+
 @query(f"WITH {T.CAPTURES} SELECT DISTINCT {BARE.format('url')} host FROM captures WHERE label = 1")
 def discovered_host_set(spark, sf):
     return reports.discovered_hosts(T.captures(spark, sf).where("label = 1"))

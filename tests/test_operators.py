@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
-from seine.operators import features, merge, reports, routing, schedule, urllists
+from seine.functions import text
+from seine.operators import capturing, features, merge, reports, routing, schedule, urllists
 from seine.plans import catalogue
 from seine.sources import readers, writers
 from seine.streaming import pipelines
@@ -173,3 +174,17 @@ def test_stream_stages(spark, tmp_path):
     assert [(r.external_job_id, r.title) for r in got] == [("1", "T")] and [r.raw_json for r in dead] == ["broken"]
     responses = spark.createDataFrame([("https://a.com/jobs", "GET", "application/json", '[{"title":1,"location":1,"description":1}]')], "url string, method string, content_type string, body string")
     assert pipelines.scored(responses).first().shape == "shape1_full_list"
+
+
+def test_request_shaping(spark):
+    rows = spark.createDataFrame([("greenhouse", "https://a/jobs"), ("greenhouse", "https://a/jobs?x=1"), ("greenhouse", "https://a?content=true"), ("lever", "https://a/b/jobs")], "p string, u string")
+    assert [r[0] for r in rows.select(capturing.request_url(F.col("p"), F.col("u"))).collect()] == ["https://a/jobs?content=true", "https://a/jobs?x=1&content=true", "https://a?content=true", "https://a/b/jobs"]
+    assert rows.select(capturing.board_slug(F.col("u"))).collect()[3][0] == "b"
+
+
+def test_previews_and_similarity(spark):
+    rows = spark.createDataFrame([('{"a": 1}', "word"), ("plain", "words")], "j string, w string")
+    assert [r[0] for r in rows.select(text.json_preview(F.col("j"), 8)).collect()] == ['{\n  "a":', "plain"]
+    assert rows.select(text.trigram_similarity(F.lit("word"), F.col("w"))).collect()[0][0] == 1.0
+    long = spark.createDataFrame([("é" * 1500,), ("ok",)], "s string").select(text.byte_preview(F.col("s"))).collect()
+    assert [len(r[0]) for r in long] == [1024, 2]
