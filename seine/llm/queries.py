@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +13,7 @@ from .chosen_path import jaccard_classes
 from .packing import pack_documents
 from .pii import KINDS, pseudonymise
 from .quality import judge
-from .secrets import BASE, find_secrets
+from .secrets import BASE, RULES, find_secrets
 from .shared import scratch_dir
 from .suffix_dedup import remove_repeats
 from .token_codes import read_token_codes, write_token_codes
@@ -82,7 +84,51 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_feistel_pseudonyms, op2_token_codes, op3_quality_rules, op4_secret_scan, op5_best_fit_packing, op6_suffix_dedup, op7_url_filter, op8_exact_topk, op9_byte_bpe, op10_jaccard_join)}
 
+
+
+def _spans_sql(k: int, kind: str, pattern: str, group: int, least: int) -> str:
+    """Matches of one kind with their places: what stands between matches says where each starts."""
+    pattern = pattern.replace("'", "''")
+    at = "length(array_to_string(p[1:k], '')) + length(array_to_string(m[1:k - 1], ''))"
+    return f"""SELECT doc_id, {k} o, '{kind}' kind, {at} a, {at} + length(m[k]) b FROM (
+  SELECT doc_id, m, p, unnest(range(1, len(m) + 1)) k FROM (SELECT doc_id, regexp_extract_all(t, '{pattern}') m, string_split_regex(t, '{pattern}') p FROM d) WHERE len(m) > 0)
+  WHERE length(regexp_extract(m[k], '{pattern}', {group})) >= {least}"""
+
+
+def _folded(pattern: str) -> str:
+    """ASCII letters outside classes in either case."""
+    return re.sub(r"\[[^\]]*\]|\\.[0-9A-Fa-f]*|[a-z]", lambda x: f"[{x[0].upper()}{x[0]}]" if len(x[0]) == 1 else x[0], pattern)
+
+
 ORACLE = {
+    "op4_secret_scan": "WITH d AS (SELECT doc_id, coalesce(text, '') t FROM documents),\ns AS ("
+    + "\n  UNION ALL ".join(_spans_sql(k, r.kind, _folded(r.pattern) if r.flags else r.pattern, r.group, r.least) for k, r in enumerate(RULES))
+    + """)
+SELECT d.doc_id, count(*) FILTER (kind = 'assign') n_assign, count(*) FILTER (kind = 'access') n_access, count(*) FILTER (kind = 'hex') n_hex,
+  sha256(coalesce(string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, o) FILTER (o < 3), '')) base_sha256, coalesce(string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, o), '') spans
+FROM d LEFT JOIN s USING (doc_id) GROUP BY d.doc_id""",
+    "op6_suffix_dedup": r"""
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) b FROM documents),
+p AS (SELECT doc_id, b, unnest(range(1, octet_length(b) - 398)) i FROM d WHERE octet_length(b) >= 400),
+h AS (SELECT doc_id, i, md5(b[i:i + 399]) h FROM p),
+m AS (SELECT doc_id, i FROM h WHERE h IN (SELECT h FROM h GROUP BY h HAVING count(*) > 1)),
+s AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) before FROM m),
+k AS (SELECT doc_id, i, sum(CASE WHEN before IS NULL OR before + 400 < i THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) run FROM s),
+r AS (SELECT doc_id, run, min(i) lo, max(i) + 399 hi FROM k GROUP BY 1, 2),
+e AS (SELECT doc_id, list([lo, hi] ORDER BY lo) runs, CAST(sum(hi - lo + 1) AS BIGINT) n_removed, count(*) n_spans FROM r GROUP BY 1)
+SELECT doc_id, CAST(octet_length(b) AS BIGINT) n_bytes, coalesce(n_removed, 0) n_removed, coalesce(n_spans, 0) n_spans,
+  sha256(CASE WHEN runs IS NULL THEN b ELSE list_reduce(list_transform(range(0, len(runs) + 1), lambda x: b[CASE WHEN x = 0 THEN 1 ELSE runs[x][2] + 1 END : CASE WHEN x = len(runs) THEN octet_length(b) ELSE runs[x + 1][1] - 1 END]), lambda x, y: x || y) END) kept_sha256
+FROM d LEFT JOIN e USING (doc_id)""",
+    "op10_jaccard_join": r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\pL\pN_]+') w FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) i FROM w WHERE len(w) > 0),
+g AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') s FROM p),
+n AS (SELECT doc_id, count(*) n, md5(string_agg(s, ',' ORDER BY s)) f FROM g GROUP BY doc_id),
+c AS (SELECT a.doc_id a, b.doc_id b, count(*) k FROM g a JOIN g b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b, x.f fa, y.f fb FROM c JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE k >= 0.8 * (x.n + y.n - k) - 1e-9),
+t AS (SELECT a, count(*) links, count(DISTINCT CASE WHEN fa <> fb THEN fb END) texts FROM l GROUP BY a),
+r AS (WITH RECURSIVE r(id, other) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.id, l.b FROM r JOIN l ON r.other = l.a) SELECT id, min(other) class_id FROM r GROUP BY id)
+SELECT doc_id, class_id, coalesce(links, 0) n_links, coalesce(texts, 0) n_text_links FROM documents JOIN r ON doc_id = id LEFT JOIN t ON doc_id = a""",
     "op7_url_filter": r"""
 WITH parts AS (
   SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
