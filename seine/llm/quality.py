@@ -20,7 +20,7 @@ WHITE = "\\x20\\x09-\\x0D"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 #: Thresholds below or above which a rule calls a text good or bad; between them it abstains.
-RULES = ("symbols", "capitals", "shouts", "lines", "repeats", "variety", "length")
+RULES = ("symbols", "capitals", "shouts", "lines", "repeats", "variety", "echoes", "length")
 ROUNDS = 50
 #: Before any counts: the share of good texts, and of a rule's votes those that are bad, for bad and for good texts.
 START_GOOD = 0.9
@@ -74,6 +74,7 @@ def measures(text: Column) -> dict[str, Column]:
         F.size(F.filter(words, lambda w: (w == F.upper(w)) & (w != F.lower(w)) & (F.length(w) > 1))).cast("long").alias("n_capital_words"),
         F.size(F.filter(words, lambda w: w.endswith("!"))).cast("long").alias("n_shout_words"),
         F.size(F.array_distinct(words)).cast("long").alias("n_distinct_words"),
+        F.size(F.filter(words, lambda w, k: w == F.get(words, k - 1))).cast("long").alias("n_echo_words"),
     )
     return {
         "_words": let(words_of(text), per_words),
@@ -98,6 +99,7 @@ def votes() -> dict[str, Column]:
         "lines": vote(F.col("n_dup_lines") / F.nullif(F.col("n_lines"), F.lit(0)).cast("double"), 0.10, 0.40),
         "repeats": vote(F.col("n_repeat_words") / n, 0.10, 0.30),
         "variety": F.when(F.col("n_words") < 30, 0).otherwise(vote(1 - F.col("n_distinct_words") / n, 0.70, 0.80)),
+        "echoes": vote(F.col("n_echo_words") / n, 0.10, 0.40),
         "length": F.when((length > 20) | (length < 1.5), -1).when(length.between(2.5, 12), 1).otherwise(0),
     }
 
@@ -157,7 +159,7 @@ def judge(docs: DataFrame, keep: list[str], text_col: str = "text", least: float
     """
     rows = written(measured(docs, keep, text_col), "quality")
     names = [f"_votes.{k}" for k in RULES]
-    counts = {tuple(r)[:-1]: r[-1] for r in rows.where(~F.col("base_failed")).groupBy(*names).agg(F.count("*").alias("n")).collect()}  # at most 3^7 patterns
+    counts = {tuple(r)[:-1]: r[-1] for r in rows.where(~F.col("base_failed")).groupBy(*names).agg(F.count("*").alias("n")).collect()}  # at most 3^8 patterns
     good, rates = fit(counts)
     odds = F.lit(math.log(good / (1 - good)))
     for k, rate in zip(RULES, rates, strict=True):

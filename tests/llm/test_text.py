@@ -45,7 +45,7 @@ def test_quality_learns_from_votes(spark):
 
 
 def test_fit_holds_classes_apart():
-    bad, fine = (-1, 1, 1, 1, 1, 1, 1), (1,) * 7
+    bad, fine = (-1, *(1,) * 7), (1,) * 8
     good, rates = quality.fit({fine: 1000, bad: 60})
     assert quality.posterior(fine, good, rates) > 0.9 and quality.posterior(bad, good, rates) < 0.5
     assert quality.fit({})[0] == pytest.approx(quality.START_GOOD)
