@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import zipfile
 from pathlib import Path
@@ -39,7 +40,28 @@ def ship_package(spark: SparkSession) -> None:
     context._seine_shipped = True
 
 
+#: Bytes of an Arrow batch: a batch of whole texts is then as small as one of numbers, whatever their length.
+BATCH_BYTES = 8 << 20
+
+
 def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
-    """``mapInArrow`` with this package on the workers."""
+    """``mapInArrow`` with this package on the workers, small batches, and memory given back after each task."""
     ship_package(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{BATCH_BYTES}b")
+
+    def run(batches):
+        yield from function(batches)
+        give_back()
+
+    return df.mapInArrow(run, schema)
+
+
+def give_back() -> None:
+    """Returns freed memory to the system, which allocators of long-lived workers else keep."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where there is no such library
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
