@@ -29,7 +29,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """The rows of ``df`` from a table written to the shared folder: cuts the lineage, outlives executors."""
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Removes tables that ``written`` made, once what was made from them is written itself."""
+    for t in tables:
+        delete(t.sparkSession, t._scratch_path)
 
 
 def delete(spark: SparkSession, path: str) -> None:

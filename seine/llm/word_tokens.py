@@ -33,7 +33,7 @@ class WordEncoder:
     ordinary text.
     """
 
-    def __init__(self, path: str, remember: int = 300_000, longest: int = 48):
+    def __init__(self, path: str, remember: int = 180_000, longest: int = 48):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
@@ -103,6 +103,6 @@ class Memory(dict):
 
 
 @cache
-def shared_encoder(path: str) -> WordEncoder:
+def shared_encoder(path: str, remember: int) -> WordEncoder:
     """One encoder for all tasks of a worker, so that it keeps what it remembers."""
-    return WordEncoder(path)
+    return WordEncoder(path, remember)
