@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import json
-from functools import reduce
-from operator import or_
 
 import pandas as pd
 from pyspark.sql import Column, SparkSession
@@ -201,7 +199,3 @@ def endpoint_matches(html: Column, domain: Column) -> Column:
     rows += [("nextjs_data", "GET", _payload_url(html)), ("preconnect", "GET", urls.origin(preconnect)), ("csp_meta", "GET", _policy_host(html)), ("schema_org_jobs", "GET", _posting_url(html, domain))]
     made = [F.when(u.isNotNull() & urls.is_http(u), F.struct(F.lit(n).alias("pattern"), F.lit(m).alias("method"), u.alias("url"))) for n, m, u in rows]
     return F.array_compact(F.array(*made))
-
-
-def any_of(conditions: list[Column]) -> Column:
-    return reduce(or_, conditions, F.lit(False))

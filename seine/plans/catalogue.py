@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import jsons, rules, scoring, text, times, urls
+from ..functions import rules, scoring, text, times, urls
 from ..operators import capturing, features, merge, parse, probing, reports, routing, schedule, urllists
 from . import tables as T
 
