@@ -28,13 +28,13 @@ from pyspark.sql import functions as F
 
 from ..session import map_arrow
 from .components import components
-from .shared import task, text_digest, written
+from .shared import drop, task, text_digest, written
 
 TOKENS = 64
 #: Sets that a node may have to be compared at once, and the size of a block of a larger one.
 SMALL = 256
 DEPTH = 4
-SETS = "uid long, doc_id long, fp binary, n int, sig binary, td binary"
+SETS = "uid long, doc_id long, fp binary, n int, sig binary, nodes array<long>, td binary"
 #: Sets go on if their min-hash tokens agree this many standard deviations below the threshold or better.
 DEVIATIONS = 4.5
 BASE = 0x9E3779B97F4A7C15 | 1
@@ -96,14 +96,14 @@ def _multipliers() -> np.ndarray:
 
 
 def min_hashes(grams: np.ndarray) -> np.ndarray:
-    """TOKENS min-hash values of 16 bits; different ones agree by chance once in 65,536 times."""
+    """TOKENS min-hash values of 64 bits."""
     least = np.full(TOKENS, (1 << 64) - 1, "u8")
     for lo in range(0, len(grams), 4096):
         own = grams[lo : lo + 4096, None] * _multipliers()
         own ^= own >> np.uint64(32)
         own *= GOLD
         least = np.minimum(least, own.min(0))
-    return (least >> np.uint64(48)).astype("<u2")
+    return mixed(least)
 
 
 def chance(similarity: float, depth: int) -> float:
@@ -135,22 +135,29 @@ def short_grams(grams: np.ndarray) -> np.ndarray:
     return np.unique((grams >> np.uint64(32)).astype("<u4"))
 
 
-def gram_sets(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
-    """A row for each document: a number of its own, its set's fingerprint, size and min-hash tokens, and its text's digest."""
+def gram_sets(docs: DataFrame, n: int, similarity: float, runs: int, id_col: str, text_col: str) -> DataFrame:
+    """A row for each document: a number of its own, its set's fingerprint, size, min-hash tokens and first nodes, and its text's digest.
+
+    First nodes, at which all sets part, are made of whole tokens; 16 bits of each are kept for
+    the rest: tokens that differ agree in them once in 65,536 times, and every level adds 16 more.
+    """
+    roots = np.arange(1, runs + 1, dtype="u8") * np.uint64(BASE)
 
     def embed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         uid = task() << 36
         for batch in batches:
-            out: list[list] = [[] for _ in range(6)]
+            out: list[list] = [[] for _ in range(7)]
             for doc_id, td, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 with np.errstate(over="ignore"):
                     grams = gram_hashes(text.as_py() or "", n)
-                    row = (uid, doc_id, hashlib.blake2b(grams.tobytes(), digest_size=16).digest() if len(grams) else None, len(short_grams(grams)), min_hashes(grams).tobytes(), td)
+                    tokens = min_hashes(grams)
+                    nodes, _ = children(roots, np.broadcast_to(tokens, (runs, TOKENS)), similarity)
+                    row = (uid, doc_id, hashlib.blake2b(grams.tobytes(), digest_size=16).digest() if len(grams) else None, len(short_grams(grams)), (tokens >> np.uint64(48)).astype("<u2").tobytes(), nodes.view("i8"), td)
                 uid += 1
                 for column, x in zip(out, row, strict=True):
                     column.append(x)
-            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(out, kinds, strict=True)], names=["uid", "doc_id", "fp", "n", "sig", "td"])
+            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(out, kinds, strict=True)], names=["uid", "doc_id", "fp", "n", "sig", "nodes", "td"])
 
     return map_arrow(docs.select(F.col(id_col).cast("long").alias("doc_id"), text_digest(F.col(text_col)).alias("td"), F.col(text_col).alias("text")), embed, SETS)
 
@@ -304,24 +311,24 @@ def jaccard_classes(docs: DataFrame, n: int = 5, similarity: float = 0.8, recall
     and is a class of its own. Repeated rows are copies of each other; a null id is passed
     on. An empty table gives no rows; other columns are not read.
     """
-    spark = docs.sparkSession
-    sets = written(gram_sets(docs, n, id_col, text_col), "gram-sets")
+    sets = written(gram_sets(docs, n, similarity, runs_for(recall, similarity, DEPTH), id_col, text_col), "gram-sets")
     leaders = sets.where("fp is not null").groupBy("fp").agg(F.min("uid").alias("rid"), F.min_by("td", "uid").alias("td"), F.min("doc_id").alias("first_doc"), F.count("*").alias("copies"))
     leaders = written(leaders, "leaders")
-    reps = written(sets.select(F.col("uid").alias("rid"), "n", "sig").join(leaders.select("rid", "copies"), "rid"), "reps")
+    reps = written(sets.select(F.col("uid").alias("rid"), "n", "sig", "nodes").join(leaders.select("rid"), "rid"), "reps")
 
-    runs = runs_for(recall, similarity, DEPTH)
-    roots = F.explode(F.array(*(F.lit(int(np.array([r * BASE % (1 << 64)], "u8").view("i8")[0])) for r in range(1, runs + 1))))
-    rows = reps.select(roots.alias("node"), "rid", "sig")
-    settled = []
+    rows = reps.select("rid", F.explode("nodes").alias("node"))
+    settled, spent = [], []
     for depth in range(1, DEPTH + 1):
-        rows = written(split_nodes(rows, similarity), "nodes")
-        sizes = rows.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
-        sized = rows.join(written(sizes, "sizes"), "node")
+        if depth > 1:
+            rows = written(split_nodes(rows, similarity), "nodes")
+            spent.append(rows)
+        sizes = written(rows.groupBy("node").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
+        spent.append(sizes)
+        sized = rows.join(sizes, "node")
         settled.append(sized if depth == DEPTH else sized.where(F.col("size") <= SMALL))
-        large = sized.where(F.col("size") > SMALL).select("node", "rid")
         if depth < DEPTH:
-            large = written(large, "large")
+            large = written(sized.where(F.col("size") > SMALL).select("node", "rid"), "large")
+            spent.append(large)
             if large.isEmpty():
                 break
             rows = large.join(reps.select("rid", "sig"), "rid")
@@ -329,17 +336,20 @@ def jaccard_classes(docs: DataFrame, n: int = 5, similarity: float = 0.8, recall
     for more in settled[1:]:
         ends = ends.union(more)
     ends = written(ends.select("node", "rid", "size").distinct(), "ends")
+    drop(*spent)
     paths = ends.groupBy("rid").agg(F.collect_set("node").alias("paths"))  # at most runs * 2^DEPTH nodes
     about = reps.join(paths, "rid").select("rid", "n", "sig", "paths")
     blocks = F.ceil(F.col("size") / F.lit(SMALL)).cast("int")
     units = ends.select("node", "rid", F.pmod(F.xxhash64("rid"), blocks).cast("int").alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
     units = units.select("node", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "own", "rid")
     likely = written(likely_members(_dealt(units.join(about, "rid")), similarity), "likely")
+    drop(ends, reps)
     # Grams are made again, for the sets with a likely partner alone; storing all of them would cost more than the texts.
     needed = likely.select("rid").distinct().join(leaders.select("rid", "td"), "rid")
     texts = docs.select(text_digest(F.col(text_col)).alias("td"), F.col(text_col).alias("text")).groupBy("td").agg(F.first("text").alias("text"))
-    full = likely.join(grams_of(texts.join(needed, "td"), n), "rid").join(leaders.select("rid", "copies"), "rid")
+    full = likely.join(grams_of(texts.join(needed.hint("merge"), "td"), n), "rid").join(leaders.select("rid", "copies"), "rid")
     links = written(verified_links(_dealt(full), similarity), "links")
+    drop(likely)
 
     hung = components(links.select(F.col("rid").alias("u"), F.col("root").alias("v")))
     counts = links.groupBy("rid").agg(F.sum("docs").alias("docs"), F.sum("texts").alias("texts"))

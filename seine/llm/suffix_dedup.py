@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import map_arrow
-from .shared import text_digest, written
+from .shared import drop, text_digest, written
 
 GRAM = 64
 #: Bytes that one round of array operations takes; longer texts go in overlapping parts.
@@ -77,7 +77,11 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors(parts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
-    """For each anchor of the parts: its part, first window in it, number of windows, k-gram hash, context hash."""
+    """For each anchor of the parts: its part, first window in it, number of windows, k-gram hash, context hash, times.
+
+    Where a text repeats itself over and over, anchors with one context follow on each other;
+    they are one entry, with their number.
+    """
     data = np.frombuffer(b"".join(parts), "u1")
     bounds = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
     with np.errstate(over="ignore"):
@@ -90,17 +94,22 @@ def anchors(parts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
         anchor = least[inside].astype("i8")
         first = np.flatnonzero(np.concatenate([[True], (np.diff(anchor) != 0) | (np.diff(part[inside]) != 0)]))
         start, count = inside[first], np.diff(np.concatenate([first, [len(inside)]]))
-        return part[start], start - bounds[part[start]], count, grams[anchor[first]], hashes.of(start, start + count - 1 + length)
+        gram, context = grams[anchor[first]], hashes.of(start, start + count - 1 + length)
+    same = (gram[1:] == gram[:-1]) & (context[1:] == context[:-1]) & (start[1:] == start[:-1] + count[:-1]) & (part[start[1:]] == part[start[:-1]])
+    head = np.flatnonzero(np.concatenate([[True], ~same]))
+    times = np.diff(np.concatenate([head, [len(start)]]))
+    start, count = start[head], np.add.reduceat(count, head) if len(head) else count
+    return part[start], start - bounds[part[start]], count, gram[head], context[head], times
 
 
 def find_anchors(texts: DataFrame, length: int) -> DataFrame:
-    """A row for each anchor of each row's ``text``: anchor, context, td, first, windows."""
+    """A row for each anchor of each row's ``text``: anchor, context, td, first, windows, times."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found(parts: list[bytes], of: list[tuple[bytes, int]]) -> pa.RecordBatch:
-            part, first, windows, gram, context = anchors(parts, length)
+            part, first, windows, gram, context, times = anchors(parts, length)
             offset = np.array([x for _, x in of])
-            return pa.RecordBatch.from_pydict({"anchor": pa.array(gram.view("i8")), "context": pa.array(context.view("i8")), "td": pa.array([x for x, _ in of], pa.binary()).take(pa.array(part)), "first": pa.array(first + offset[part]), "windows": pa.array(windows.astype("i4"))})
+            return pa.RecordBatch.from_pydict({"anchor": pa.array(gram.view("i8")), "context": pa.array(context.view("i8")), "td": pa.array([x for x, _ in of], pa.binary()).take(pa.array(part)), "first": pa.array(first + offset[part]), "windows": pa.array(windows.astype("i4")), "times": pa.array(times.astype("i8"))})
 
         parts, of, held = [], [], 0
         for batch in batches:
@@ -119,7 +128,7 @@ def find_anchors(texts: DataFrame, length: int) -> DataFrame:
         if parts:
             yield found(parts, of)
 
-    return map_arrow(texts.select("td", "text"), scan, "anchor long, context long, td binary, first long, windows int")
+    return map_arrow(texts.select("td", "text"), scan, "anchor long, context long, td binary, first long, windows int, times long")
 
 
 def suffix_array(data: np.ndarray, stop: np.ndarray) -> np.ndarray:
@@ -301,9 +310,10 @@ def repeated_spans(docs: DataFrame, text_col: str, length: int) -> DataFrame:
     """td, spans (array of start, end in bytes; they may overlap) of every text with repeated windows."""
     texts = docs.select(text_digest(F.col(text_col)).alias("td"), F.col(text_col).alias("text")).where(F.octet_length("text") >= length)
     found = written(find_anchors(texts, length), "anchors")
-    again = found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    again = found.groupBy("anchor").agg(F.sum("times").alias("n")).where("n > 1").select("anchor")
     # Copies of a text fold into one row with their number.
-    places = written(found.join(again, "anchor", "left_semi").groupBy("anchor", "context", "td", "first", "windows").agg(F.count("*").alias("n")), "places")
+    places = written(found.join(again, "anchor", "left_semi").groupBy("anchor", "context", "td", "first", "windows").agg(F.sum("times").alias("n")), "places")
+    drop(found)
     kinds = places.groupBy("anchor", "context").agg(F.sum("n").alias("n"), F.min(F.struct("td", "first", "windows")).alias("at"))
     kinds = written(kinds, "contexts")
     groups = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.count_if(F.col("n") == 1).alias("singles")).where("kinds > 1 and singles > 0")
@@ -311,13 +321,16 @@ def repeated_spans(docs: DataFrame, text_col: str, length: int) -> DataFrame:
     open_ = kinds.join(groups.select("anchor", salts.alias("salts")), "anchor").select("anchor", "context", "at.*", (F.col("n") == 1).alias("single"), "salts", F.pmod(F.xxhash64("context"), F.col("salts")).cast("int").alias("salt"))
     distinct = texts.groupBy("td").agg(F.first("text").alias("text"))
     body = F.substring(F.col("text").cast("binary"), (F.col("first") + 1).cast("int"), F.col("windows") + (length - 1))
-    contexts = open_.join(distinct, "td").select("anchor", "context", "salt", body.alias("body"), "single", "salts")
+    contexts = open_.join(distinct.hint("merge"), "td").select("anchor", "context", "salt", body.alias("body"), "single", "salts")
     shards = written(search_shards(contexts, length), "shards")
     runs = shards.where("runs is not null").select("anchor", "context", "runs").union(merge_shards(shards))
 
     whole = places.join(kinds.where("n > 1").select("anchor", "context"), ["anchor", "context"]).select("td", F.col("first").alias("start"), (F.col("first") + F.col("windows") + (length - 1)).alias("end"))
     partial = kinds.where("n = 1").join(runs, ["anchor", "context"]).select("at.td", "at.first", F.explode("runs").alias("r")).select("td", (F.col("first") + F.col("r.lo")).alias("start"), (F.col("first") + F.col("r.hi") + (length - 1)).alias("end"))
-    return written(whole.union(partial).groupBy("td").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans")), "spans")  # a text's own anchors, at most one for each of its windows
+    # A text's own anchors, at most one for each of its windows.
+    spans = written(whole.union(partial).groupBy("td").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans")), "spans")
+    drop(places, kinds, shards)
+    return spans
 
 
 def remove_repeats(docs: DataFrame, keep: list[str], text_col: str = "text", length: int = 400, texts: bool = False) -> DataFrame:
@@ -330,7 +343,7 @@ def remove_repeats(docs: DataFrame, keep: list[str], text_col: str = "text", len
     characters of which bytes went.
     """
     spans = repeated_spans(docs, text_col, length)
-    rows = docs.select(F.struct(*keep).alias("_kept"), F.col(text_col).alias("_text"), text_digest(F.col(text_col)).alias("td")).join(spans, "td", "left")
+    rows = docs.select(F.struct(*keep).alias("_kept"), F.col(text_col).alias("_text"), text_digest(F.col(text_col)).alias("td")).join(spans.hint("merge"), "td", "left")
     kept = rows.schema["_kept"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
