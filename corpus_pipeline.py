@@ -39,7 +39,7 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """
     classes = written(jaccard_classes(docs).select("doc_id", "class_id"), "classes")
     later = classes.where("doc_id <> class_id").select("doc_id").distinct()
-    left = docs.join(later, "doc_id", "left_anti").select(*docs.columns)
+    left = docs.join(later.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
     repeated = classes.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
     return left if repeated.isEmpty() else left.dropDuplicates(["doc_id", "text"])
 
