@@ -73,7 +73,7 @@ def plan_runs(counts: dict[int, int], size: int) -> list[tuple[int, int, int, in
     return runs
 
 
-def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int, id_col: str, text_col: str, remember: int = 180_000) -> DataFrame:
+def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int, id_col: str, text_col: str, remember: int = 400_000) -> DataFrame:
     """Pieces of every text with ``end_id``, each with its rank among its task's pieces of that length."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
