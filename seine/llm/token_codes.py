@@ -104,7 +104,7 @@ class Segment:
         return self.tokens(int(self.ends[k - 1]) if k else 0, int(self.ends[k]))
 
 
-def write_token_codes(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", segment_tokens: int = 1 << 20, remember: int = 300_000) -> None:
+def write_token_codes(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", segment_tokens: int = 1 << 17, remember: int = 450_000) -> None:
     """Encodes every text, appends ``end_id`` and writes segments in ascending id order.
 
     A null text is an empty one; a null id sorts first; rows with one id sort by a hash of the text (the text itself would go to the driver
