@@ -19,6 +19,8 @@ from .shared import let, written
 WHITE = "\\x20\\x09-\\x0D"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
+#: Words in which distinct ones are counted at once; over a whole text their share would fall with its length.
+BLOCK = 1000
 #: Thresholds below or above which a rule calls a text good or bad; between them it abstains.
 RULES = ("symbols", "capitals", "shouts", "lines", "repeats", "variety", "echoes", "length")
 ROUNDS = 50
@@ -64,8 +66,15 @@ def repeated_words(words: Column) -> Column:
     return let(words, lambda w: F.when(F.size(w) < 2 * WINDOW - 7, 0).when(hashed(w) == 0, 0).otherwise(exact(w))).cast("long")
 
 
+def block_distinct_words(words: Column) -> Column:
+    """Distinct words of each block of ``BLOCK`` consecutive words, the last one shorter, summed over all blocks."""
+    blocks = lambda w: F.sequence(F.lit(0), F.floor((F.size(w) - 1) / BLOCK).cast("int"))
+    distinct = lambda w, k: F.size(F.array_distinct(F.slice(w, k * BLOCK + 1, F.lit(BLOCK))))
+    return let(words, lambda w: F.when(F.size(w) == 0, 0).otherwise(F.aggregate(blocks(w), F.lit(0), lambda a, k: a + distinct(w, k)))).cast("long")
+
+
 def measures(text: Column) -> dict[str, Column]:
-    """What rules look at, all counts of the whole text; a null text has no words."""
+    """What rules look at, all counts of the whole text (distinct words block by block); a null text has no words."""
     text = F.coalesce(text, F.lit(""))
     lines = F.filter(F.split(text, "\n", -1), lambda line: line.rlike(f"[^{WHITE}]"))
     per_words = lambda words: F.struct(
@@ -73,7 +82,7 @@ def measures(text: Column) -> dict[str, Column]:
         repeated_words(words).alias("n_repeat_words"),
         F.size(F.filter(words, lambda w: (w == F.upper(w)) & (w != F.lower(w)) & (F.length(w) > 1))).cast("long").alias("n_capital_words"),
         F.size(F.filter(words, lambda w: w.endswith("!"))).cast("long").alias("n_shout_words"),
-        F.size(F.array_distinct(words)).cast("long").alias("n_distinct_words"),
+        block_distinct_words(words).alias("n_distinct_words"),
         F.size(F.filter(words, lambda w, k: w == F.get(words, k - 1))).cast("long").alias("n_echo_words"),
     )
     return {

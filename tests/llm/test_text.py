@@ -44,6 +44,16 @@ def test_quality_learns_from_votes(spark):
     assert kept == {i for i, _ in clean}
 
 
+def test_quality_keeps_very_long_clean_texts(spark):
+    """The share of distinct words that speaks against a text doesn't fall with its length, and few words are still few."""
+    rng = random.Random(5)
+    rows = [(k, words(rng, 80, 3000)) for k in range(200)] + [(1000, words(rng, 300_000, 30_000)), (1001, words(rng, 50_000, 100)), (1002, words(rng, 900, 100))]
+    out = quality.judge(frame(spark, rows), ["doc_id"])
+    assert {r._kept.doc_id for r in out.where("kept and not base_failed").collect()} >= {*range(200), 1000}
+    votes = {r._kept.doc_id: r._votes.variety for r in quality.measured(frame(spark, rows[-3:]), ["doc_id"]).collect()}
+    assert votes == {1000: 1, 1001: -1, 1002: -1}
+
+
 def test_fit_holds_classes_apart():
     bad, fine = (-1, *(1,) * 7), (1,) * 8
     good, rates = quality.fit({fine: 1000, bad: 60})
