@@ -16,7 +16,7 @@ from seine.llm.packing import pack_documents
 from seine.llm.quality import judge
 from seine.llm.queries import WORD_BPE, table
 from seine.llm.secrets import find_secrets
-from seine.llm.shared import written
+from seine.llm.shared import text_digest, written
 from seine.llm.suffix_dedup import remove_repeats
 
 
@@ -33,15 +33,22 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near copies the document of least id; rows without an id stay.
+    """Of each class of near copies one row: that of the least id, a null id last; rows without words stay.
 
-    Documents are told apart by id and text: of rows that repeat both, one stays.
+    Rows are told apart by id and text, so rows of one id are in classes of their texts; of
+    rows that repeat both, one stays.
     """
-    classes = written(jaccard_classes(docs).select("doc_id", "class_id"), "classes")
-    later = classes.where("doc_id <> class_id").select("doc_id").distinct()
-    left = docs.join(later.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
-    repeated = classes.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
-    return left if repeated.isEmpty() else left.dropDuplicates(["doc_id", "text"])
+    classes = written(jaccard_classes(docs, row_keys=True).select("doc_id", "td", "stays", "has_words"), "classes")
+    keyed = docs.select(F.struct(*docs.columns).alias("_kept"), F.col("doc_id").cast("long").alias("_id"), text_digest(F.col("text")).alias("_td"))
+    same = keyed["_id"].eqNullSafe(F.col("doc_id")) & (keyed["_td"] == F.col("td"))
+    among = lambda keys, how: keyed.join(keys.hint("merge"), same, how)
+    later = classes.where("not stays").select("doc_id", "td").distinct()
+    repeated = written(classes.where("stays and has_words").groupBy("doc_id", "td").count().where("count > 1").select("doc_id", "td"), "repeated")
+    if repeated.isEmpty():
+        left = among(later, "left_anti")
+    else:
+        left = among(later.union(repeated), "left_anti").union(among(repeated, "left_semi").dropDuplicates(["_id", "_td"]))
+    return left.select(*(F.col("_kept").getField(c).alias(c) for c in docs.columns))
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

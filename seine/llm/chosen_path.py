@@ -302,7 +302,7 @@ def _dealt(units: DataFrame) -> DataFrame:
     return units.repartition("node", "a", "b").sortWithinPartitions("node", "a", "b", "rid")
 
 
-def jaccard_classes(docs: DataFrame, n: int = 5, similarity: float = 0.8, recall: float = 0.999, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_classes(docs: DataFrame, n: int = 5, similarity: float = 0.8, recall: float = 0.999, id_col: str = "doc_id", text_col: str = "text", row_keys: bool = False) -> DataFrame:
     """doc_id, class_id, n_links, n_text_links for every document.
 
     ``class_id`` is the least document id of its component of links; ``n_links`` counts the
@@ -310,9 +310,14 @@ def jaccard_classes(docs: DataFrame, n: int = 5, similarity: float = 0.8, recall
     n-gram sets among them. A text without words (null or empty too) is linked with nothing
     and is a class of its own. Repeated rows are copies of each other; a null id is passed
     on. An empty table gives no rows; other columns are not read.
+
+    With ``row_keys``, ``td`` (the text's digest), ``stays`` and ``has_words`` too: doc_id and td
+    tell rows apart, and one such key of each class stays, that of the least id (a null one
+    last) and digest. Rows that repeat that key all have ``stays``; a row without words
+    (``has_words`` is false) stays, as it is a class of its own.
     """
     sets = written(gram_sets(docs, n, similarity, runs_for(recall, similarity, DEPTH), id_col, text_col), "gram-sets")
-    leaders = sets.where("fp is not null").groupBy("fp").agg(F.min("uid").alias("rid"), F.min_by("td", "uid").alias("td"), F.min("doc_id").alias("first_doc"), F.count("*").alias("copies"))
+    leaders = sets.where("fp is not null").groupBy("fp").agg(F.min("uid").alias("rid"), F.min_by("td", "uid").alias("td"), F.min("doc_id").alias("first_doc"), F.count("*").alias("copies"), *([F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "td")).alias("first_row")] if row_keys else []))
     leaders = written(leaders, "leaders")
     reps = written(sets.select(F.col("uid").alias("rid"), "n", "sig", "nodes").join(leaders.select("rid"), "rid"), "reps")
 
@@ -354,7 +359,9 @@ def jaccard_classes(docs: DataFrame, n: int = 5, similarity: float = 0.8, recall
     hung = components(links.select(F.col("rid").alias("u"), F.col("root").alias("v")))
     counts = links.groupBy("rid").agg(F.sum("docs").alias("docs"), F.sum("texts").alias("texts"))
     classes = leaders.join(hung.withColumnRenamed("node", "rid"), "rid", "left").join(counts, "rid", "left").withColumn("root", F.coalesce("root", "rid"))
-    least = classes.groupBy("root").agg(F.min("first_doc").alias("class_id"))
-    by_set = classes.join(least, "root").select("fp", "class_id", (F.coalesce("docs", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("texts", F.lit(0)).alias("n_text_links"))
-    out = sets.select("doc_id", "fp").join(by_set, "fp", "left")
-    return out.select("doc_id", F.when(F.col("fp").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("n_text_links", F.lit(0)).cast("long").alias("n_text_links"))
+    least = classes.groupBy("root").agg(F.min("first_doc").alias("class_id"), *([F.min("first_row").alias("first")] if row_keys else []))
+    by_set = classes.join(least, "root").select("fp", "class_id", *(["first"] if row_keys else []), (F.coalesce("docs", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("texts", F.lit(0)).alias("n_text_links"))
+    out = sets.select("doc_id", "fp", *(["td"] if row_keys else [])).join(by_set, "fp", "left")
+    stays = F.col("fp").isNull() | (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("td") == F.col("first.td")))
+    chosen = ["td", stays.alias("stays"), F.col("fp").isNotNull().alias("has_words")] if row_keys else []
+    return out.select("doc_id", F.when(F.col("fp").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("n_text_links", F.lit(0)).cast("long").alias("n_text_links"), *chosen)

@@ -37,6 +37,22 @@ def test_decisions_take_effect(spark):
     assert {r.doc_id for r in step(4, cut).collect()} == set(texts)
 
 
+def test_one_row_of_each_class_stays_and_no_other_goes(spark):
+    """Ids on rows of different texts, near copies that share an id or have none, repeated rows."""
+    rng = random.Random(7)
+    text = [words(rng, 100, 90_000) for _ in range(8)]
+    near = lambda k: " ".join([*text[k].split()[:-1], "edit"])
+    rows = [(1, text[0]), (9, near(0)), (9, text[1]), (9, text[2])]  # one text of a repeated id is a near copy of a smaller id
+    rows += [(20, text[3]), (20, near(3))]  # near copies of one id
+    rows += [(None, text[4]), (None, near(4)), (None, text[5])]  # and without an id
+    rows += [(None, text[6])] * 2 + [(30, text[7])] * 3 + [(None, text[7]), (40, ""), (40, None), (40, "")]
+    out = [(r.doc_id, r.text) for r in corpus_pipeline.jaccard_join(spark, frame(spark, rows), "").collect()]
+    one_of = lambda *some: len([x for x in out if x in some]) == 1
+    assert all(out.count(x) == 1 for x in [(1, text[0]), (9, text[1]), (9, text[2]), (None, text[5]), (None, text[6]), (30, text[7]), (40, None)])
+    assert one_of((20, text[3]), (20, near(3))) and one_of((None, text[4]), (None, near(4))) and out.count((40, "")) == 2
+    assert len(out) == 11
+
+
 def test_run_and_queries_on_a_small_table(spark):
     assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() > 0
     for name in ("op1_feistel_pseudonyms", "op3_quality_rules", "op4_secret_scan", "op9_byte_bpe"):
