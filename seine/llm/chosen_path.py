@@ -106,17 +106,33 @@ def min_hashes(grams: np.ndarray) -> np.ndarray:
     return mixed(least)
 
 
-def chance(similarity: float, depth: int) -> float:
-    """That two sets of this similarity, the threshold too, still share a node at a depth in one run."""
-    second = 1 / similarity - 1
+def chance(similarity: float, depth: int, agreeing: float | None = None) -> float:
+    """That two sets of this similarity, the threshold too, still share a node at a depth in one run.
+
+    ``agreeing`` is the share of their min-hash tokens that agree, where it isn't the similarity.
+    """
+    second, p = 1 / similarity - 1, similarity if agreeing is None else agreeing
     q = 1.0
     for _ in range(depth):
-        q = (1 - second) * similarity * q + second * (1 - (1 - similarity * q) ** 2)
+        q = (1 - second) * p * q + second * (1 - (1 - p * q) ** 2)
     return q
 
 
+def missed(runs: int, similarity: float, depth: int) -> float:
+    """That two sets of this similarity, the threshold too, share no node at a depth in any run.
+
+    All runs sample the same tokens, so the chance is that of each number of agreeing tokens, averaged.
+    """
+    share = lambda k: math.comb(TOKENS, k) * similarity**k * (1 - similarity) ** (TOKENS - k)
+    return sum(share(k) * (1 - chance(similarity, depth, k / TOKENS)) ** runs for k in range(TOKENS + 1))
+
+
 def runs_for(recall: float, similarity: float, depth: int) -> int:
-    return math.ceil(math.log(1 - recall) / math.log(1 - chance(similarity, depth)))
+    """The least number of runs that miss at most 1 - recall of the pairs at the threshold."""
+    runs = 1
+    while missed(runs, similarity, depth) > 1 - recall:
+        runs += 1
+    return runs
 
 
 def children(nodes: np.ndarray, signatures: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:

@@ -111,6 +111,18 @@ def test_chances_and_runs():
     assert 1 - (1 - chosen_path.chance(0.8, 4)) ** runs >= 0.999
 
 
+def test_runs_reckon_with_the_spread_of_tokens():
+    """All runs share their tokens: pairs at the threshold by simulated numbers of agreeing ones."""
+    rng = np.random.default_rng(8)
+    agreeing, times = np.unique(rng.binomial(chosen_path.TOKENS, 0.8, 200_000), return_counts=True)
+    runs = chosen_path.runs_for(0.999, 0.8, chosen_path.DEPTH)
+    second, q = 1 / 0.8 - 1, np.ones(len(agreeing))
+    for _ in range(chosen_path.DEPTH):
+        hit = agreeing / chosen_path.TOKENS * q
+        q = (1 - second) * hit + second * (1 - (1 - hit) ** 2)
+    assert (times * (1 - q) ** runs).sum() / times.sum() < 0.001
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 101), (102, 101), (7, 7), (200, 200), (3, 2)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}
