@@ -18,14 +18,22 @@ from .shared import let
 ROUNDS = 8
 #: Days of the Gregorian cycle from 1800-01-01 to 2199-12-31 are 189 x 773, so a date is two exact digits.
 EPOCH, HIGH, LOW = "1800-01-01", 189, 773
+#: Signs of an IBAN by country, by which its printed form in groups of four has an end.
+IBAN_SIGNS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH CR HR LI LV", 22: "BG BH DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+GROUPED = "|".join(f"(?:{names.replace(' ', '|')})[0-9]{{2}}(?: [A-Z0-9]{{4}}){{{n // 4 - 1}}}" + (f" [A-Z0-9]{{{n % 4}}}" if n % 4 else "") for n, names in IBAN_SIGNS.items())
+#: North American numbers without a country; area and exchange start with 2 to 9, so each passes the number plan.
+NATIONAL = r"(?<![0-9A-Za-z+])(?<![0-9][.-])(?:1[ .-])?(?:\([2-9][0-9]{2}\)[ .-]?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9])"
 #: kind: where a value may stand. Each starts behind a sign that can't be part of it, so no stretch is tried twice.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
     "ip": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9])(?!\.[0-9])",
-    "phone": r"(?<![0-9+])\+[0-9]{1,3}[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])",
+    "phone": r"(?<![0-9+])\+[0-9]{1,3}[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])|" + NATIONAL,
     "date": r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9/-])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])",
+    "iban": rf"(?<![A-Za-z0-9])(?:[A-Z]{{2}}[0-9]{{2}}[A-Z0-9]{{11,30}}|{GROUPED})(?![A-Za-z0-9])",
     "card": r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])",
 }
 ANY = "|".join(PATTERNS.values())
@@ -42,6 +50,11 @@ def _digits(s: Column) -> Column:
     return F.regexp_replace(s, "[^0-9]", "")
 
 
+def _north(digits: Column) -> Column:
+    """Whether a phone's digits are of the North American plan: +1, or no country at all."""
+    return ((F.length(digits) == 11) & digits.startswith("1")) | (F.length(digits) == 10)
+
+
 def _sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0), lambda a, b: a + b)
 
@@ -108,10 +121,10 @@ def kind_of(m: Column) -> Column:
     checks = {
         "email": F.lit(True),
         "ip": F.forall(F.split(m, r"\."), lambda o: (o.cast("int") <= 255) & ((o == "0") | ~o.startswith("0"))),
-        "phone": F.when((n == 11) & digits.startswith("1"), (national(1) >= 2) & (national(4) >= 2)).otherwise(True),
+        "phone": F.when(_north(digits), (national(1) >= 2) & (national(4) >= 2)).otherwise(True),
         "date": let(_date(m), lambda d: d.between("1800-01-01", "2199-12-31")),
         "ssn": (~m.substr(1, 3).isin("000", "666")) & (m.substr(1, 1) != "9") & (m.substr(5, 2) != "00") & (m.substr(8, 4) != "0000"),
-        "iban": mod97(F.concat(m.substr(F.lit(5), F.length(m)), m.substr(1, 4))) == 1,
+        "iban": let(F.translate(m, " ", ""), lambda c: mod97(F.concat(F.substring(c, F.lit(5), F.length(c)), F.substring(c, 1, 4)))) == 1,
         "card": (luhn_sum(digits) % 10 == 0) & (digits.cast("decimal(38,0)") > 0),
     }
     out = F.when(F.lit(False), F.lit(""))
@@ -128,7 +141,9 @@ def pseudonym(m: Column, kind: Column, key: Column, back: bool = False) -> Colum
     local, host = F.substring(m, F.lit(1), at - 1), F.substring(m, at, F.length(m))
     inner = F.substring(digits, F.lit(2), n - 2)
     national = F.substring(digits, n - 9, F.lit(10))
-    north = (n == 11) & digits.startswith("1")
+    north = _north(digits)
+    compact = F.translate(m, " ", "")
+    own_bban = F.substring(compact, F.lit(5), F.length(compact))
     offset = lambda i: F.when(north & i.isin(0, 3), 2).otherwise(0)
     octets = F.transform(F.split(m, r"\."), lambda o: o.cast("int"))
     area = m.substr(1, 3).cast("int")
@@ -139,7 +154,7 @@ def pseudonym(m: Column, kind: Column, key: Column, back: bool = False) -> Colum
         .when(kind == "phone", _vector(F.transform(_chars(national), lambda c, i: c.cast("int") - offset(i)), F.transform(F.sequence(F.lit(0), F.lit(9)), lambda i: 10 - offset(i))))
         .when(kind == "date", _vector(F.array(F.floor(day / LOW), day % LOW), F.array(F.lit(HIGH), F.lit(LOW))))
         .when(kind == "ssn", _vector(F.array(area - F.when(area > 666, 2).otherwise(1), m.substr(5, 2).cast("int") - 1, m.substr(8, 4).cast("int") - 1), F.array(F.lit(898), F.lit(99), F.lit(9999))))
-        .when(kind == "iban", _of_chars(F.substring(m, F.lit(5), F.length(m))))
+        .when(kind == "iban", _of_chars(own_bban))
         .otherwise(_of_chars(inner))
     )
 
@@ -147,7 +162,7 @@ def pseudonym(m: Column, kind: Column, key: Column, back: bool = False) -> Colum
         date = F.date_add(F.lit(EPOCH).cast("date"), (F.get(v, 0) * LOW + F.get(v, 1)).cast("int"))
         styled = F.when(m.substr(5, 1) == "-", F.date_format(date, "yyyy-MM-dd")).when(m.substr(3, 1) == ".", F.date_format(date, "dd.MM.yyyy")).otherwise(F.date_format(date, "MM/dd/yyyy"))
         number = lambda k, width: F.lpad(k.cast("string"), width, "0")
-        bban = _to_chars(F.substring(m, F.lit(5), F.length(m)), v)
+        bban = _to_chars(own_bban, v)
         iban = let(bban, lambda b: F.concat(m.substr(1, 2), number(98 - mod97(F.concat(b, m.substr(1, 2), F.lit("00"))), 2), b))
         card = let(F.concat(F.substring(digits, 1, 1), _to_chars(inner, v)), lambda d: F.concat(d, F.pmod(-luhn_sum(F.concat(d, F.lit("0"))), F.lit(10)).cast("string")))
         phone = F.concat(F.substring(digits, F.lit(1), n - 10), F.array_join(F.transform(v, lambda x, i: (x + offset(i)).cast("string")), ""))
@@ -157,7 +172,7 @@ def pseudonym(m: Column, kind: Column, key: Column, back: bool = False) -> Colum
             .when(kind == "phone", let(phone, lambda d: _overlaid(m, d)))
             .when(kind == "date", styled)
             .when(kind == "ssn", F.concat_ws("-", number(F.get(v, 0) + F.when(F.get(v, 0) >= 665, 2).otherwise(1), 3), number(F.get(v, 1) + 1, 2), number(F.get(v, 2) + 1, 4)))
-            .when(kind == "iban", iban)
+            .when(kind == "iban", F.when(m.contains(" "), F.regexp_replace(iban, "(.{4})(?!$)", "$1 ")).otherwise(iban))
             .otherwise(let(card, lambda d: _overlaid(m, d)))
         )
 

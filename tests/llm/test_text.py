@@ -139,6 +139,21 @@ def test_pseudonyms(spark):
     assert pii.pseudonymise(empty(spark), ["doc_id"], "key").count() == 0
 
 
+def test_pseudonyms_of_national_phones_and_grouped_ibans(spark):
+    """Printed forms get the pseudonym of the plain value, and go back."""
+    rows = [(1, "+1 (743) 555-3824"), (2, "call (743) 555-3824, 743-555-3824 743.555.3824 or 1-743-555-3824"), (3, "not 143-555-3824, 12-743-555-3824 or 7435553824"), (4, "DE89370400440532013000"), (5, "IBAN DE89 3704 0044 0532 0130 00 BIC, not DE88 3704 0044 0532 0130 00"), (6, "AT61 1904 3002 3457 3201 1234")]
+    out = pii.pseudonymise(frame(spark, rows), ["doc_id"], "key")
+    got = {r._kept.doc_id: r.text for r in out.collect()}
+    n = re.sub("[^0-9]", "", got[1])[1:]
+    a, b, c = n[:3], n[3:6], n[6:]
+    assert n != "7435553824" and got[2] == f"call ({a}) {b}-{c}, {a}-{b}-{c} {a}.{b}.{c} or 1-{a}-{b}-{c}" and got[3] == rows[2][1]
+    grouped = " ".join(re.findall(".{1,4}", got[4]))
+    assert got[4] != rows[3][1] and got[5] == f"IBAN {grouped} BIC, not DE88 3704 0044 0532 0130 00"
+    assert re.fullmatch(r"AT\d\d( \d{4}){4} 1234", got[6]) and got[6] != rows[5][1]
+    back = pii.pseudonymise(out.select("_kept.doc_id", "text"), ["doc_id"], "key", back=True)
+    assert sorted((r._kept.doc_id, r.text) for r in back.collect()) == rows
+
+
 def test_pseudonyms_permute_a_whole_format(spark):
     """Distinct values keep distinct pseudonyms of the same kind."""
     ips = [f"10.{a}.{b}.1" for a in range(30) for b in range(30)]
