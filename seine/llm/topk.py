@@ -20,7 +20,7 @@ from pyspark.sql.window import Window
 from ..session import map_arrow
 from .shared import task, written
 
-RESULT = "query_id long, vec_id long, score long"
+RESULT = "query string, query_id long, vec_id long, score long"
 BLOCKS = "block string, n int, width int, ids binary, weights binary"
 
 
@@ -59,11 +59,11 @@ def blocked(vectors: DataFrame, rows: int) -> DataFrame:
 
 
 def best_of(queries: np.ndarray, query_ids: np.ndarray, table: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The k best candidates of each query within one block, ties to the smaller id: query, id, score."""
+    """The k best candidates of each query within one block, ties to the smaller id: the query's place in its block, id, score."""
     order = np.argsort(ids, kind="stable")
     ids, postings = ids[order], np.ascontiguousarray(table[order].T)
     out = []
-    for q, own in zip(queries, query_ids, strict=True):
+    for place, (q, own) in enumerate(zip(queries, query_ids, strict=True)):
         scores = np.zeros(len(ids), "i8")
         for term in np.flatnonzero(q[: len(postings)]):
             scores += q[term] * postings[term]
@@ -73,7 +73,7 @@ def best_of(queries: np.ndarray, query_ids: np.ndarray, table: np.ndarray, ids:
             least = np.partition(held, len(held) - k)[len(held) - k]
             above, level = open_[held > least], open_[held == least]
             open_ = np.concatenate([above, level[: k - len(above)]])
-        out.append((np.full(len(open_), own), ids[open_], scores[open_]))
+        out.append((np.full(len(open_), place), ids[open_], scores[open_]))
     return tuple(np.concatenate(x) if out else np.zeros(0, "i8") for x in (zip(*out, strict=True) if out else ((), (), ())))
 
 
@@ -83,7 +83,7 @@ def exact_top_k(rows: DataFrame, k: int = 5, factor: float = 256.0, every: int =
     Scores are exact integers while sums stay within 64 bits. Vectors that are null or hold a
     null or non-finite component, and rows with a null id, take no part; a shorter vector
     counts as zero where it ends. Repeated candidate rows each count; a repeated query id is
-    answered once a distinct vector. Other columns are not read.
+    answered once a distinct vector, and rows of its own id are no candidates for it. Other columns are not read.
     """
     vectors = written(quantised(rows, id_col, vector_col, factor), "vectors")
     asked = blocked(vectors.where(F.col("vec_id") % every == 0).distinct(), query_rows)
@@ -96,14 +96,15 @@ def exact_top_k(rows: DataFrame, k: int = 5, factor: float = 256.0, every: int =
     if not there:
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     dealt = held.withColumn("q_block", F.explode(F.array(*map(F.lit, there))))
-    pairs = dealt.join(asked, "q_block").select("q_n", "q_width", "q_ids", "q_weights", "n", "width", "ids", "weights")
+    pairs = dealt.join(asked, "q_block").select("q_block", "q_n", "q_width", "q_ids", "q_weights", "n", "width", "ids", "weights")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                qn, qw, qi, qv, n, w, ids, table = (c[i].as_py() for c in batch.columns)
-                query, found, value = best_of(np.frombuffer(qv, "<i8").reshape(qn, qw), np.frombuffer(qi, "<i8"), np.frombuffer(table, "<i8").reshape(n, w), np.frombuffer(ids, "<i8"), k)
-                yield pa.RecordBatch.from_pydict({"query_id": pa.array(query, pa.int64()), "vec_id": pa.array(found, pa.int64()), "score": pa.array(value, pa.int64())})
+                block, qn, qw, qi, qv, n, w, ids, table = (c[i].as_py() for c in batch.columns)
+                own = np.frombuffer(qi, "<i8")
+                place, found, value = best_of(np.frombuffer(qv, "<i8").reshape(qn, qw), own, np.frombuffer(table, "<i8").reshape(n, w), np.frombuffer(ids, "<i8"), k)
+                yield pa.RecordBatch.from_pydict({"query": pa.array([f"{block}/{x}" for x in place], pa.string()), "query_id": pa.array(own[place.astype("i8")], pa.int64()), "vec_id": pa.array(found, pa.int64()), "score": pa.array(value, pa.int64())})
 
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id"))
     return map_arrow(pairs, score, RESULT).select("query_id", rank.cast("int").alias("rank"), "vec_id", "score").where(F.col("rank") <= k)

@@ -145,5 +145,12 @@ def test_top_k(spark):
     assert topk.exact_top_k(frame_.limit(0)).count() == 0
 
 
+def test_top_k_answers_each_vector_of_a_repeated_query_id(spark):
+    rows = [(50, [1.0, 0.0]), (50, [0.0, 1.0]), (50, [0.0, 1.0])] + [(k, [float(k), 10.0 - k]) for k in range(1, 10)]
+    out = topk.exact_top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), k=3, candidate_rows=4, query_rows=1)
+    want = [(50, r + 1, v, int(65536 * 10 - 65536 * (r + 1))) for r, v in enumerate((9, 8, 7))] + [(50, r + 1, v, int(65536 * 10 - 65536 * (r + 1))) for r, v in enumerate((1, 2, 3))]
+    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in out.collect()) == sorted(want)
+
+
 def test_edge_documents_have_one_row_each(spark):
     assert chosen_path.jaccard_classes(edge(spark)).count() == len(ROWS)
