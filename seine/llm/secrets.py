@@ -12,6 +12,7 @@ import re
 import re._constants as sre
 import re._parser as sre_parser
 from collections.abc import Iterator
+from functools import cache
 from typing import NamedTuple
 
 import numpy as np
@@ -50,93 +51,159 @@ RULES = BASE + MORE
 SPANS = "array<struct<kind:string,start:int,end:int>>"
 #: Strings that a part of an expression may stand for before it counts as unknown.
 MOST_STRINGS = 64
+#: Copies of a repeated part that are looked at.
+MOST_COPIES = 8
 ANY = ("and", ())
 
 
+def _parts(query) -> tuple:
+    return query[1] if query[0] == "and" else (query,)
+
+
 def _all(*parts):
-    flat = [x for p in parts if p != ANY for x in (p[1] if p[0] == "and" else (p,))]
-    return flat[0] if len(flat) == 1 else ("and", tuple(dict.fromkeys(flat)))
+    flat = tuple(dict.fromkeys(x for p in parts for x in _parts(p)))
+    return flat[0] if len(flat) == 1 else ("and", flat)
 
 
 def _either(parts):
-    parts = tuple(dict.fromkeys(parts))
+    """One of the parts; those that ask for more than another are left out."""
+    parts = list(dict.fromkeys(parts))
+    asked = [frozenset(_parts(p)) for p in parts]
+    parts = tuple(p for p, own in zip(parts, asked, strict=True) if not any(x < own for x in asked))
     return ANY if ANY in parts or not parts else parts[0] if len(parts) == 1 else ("or", parts)
 
 
-def _grams(strings: set[bytes]):
+def _grams(strings):
     """What holds if one of the strings stands in the text."""
     return _either([_all(*(("gram", s[i : i + 3]) for i in range(len(s) - 2))) for s in sorted(strings)])
 
 
-def trigram_query(pattern: str, flags: int = 0):
-    """The expression's mandatory trigrams as ("gram", bytes), ("and", parts) or ("or", parts); ANY if none.
+class Part(NamedTuple):
+    """What is known of the matches of a part of an expression, all bytes with ASCII letters folded.
 
-    ASCII letters are folded, as in the index; a fold only weakens the query.
+    ``exact``: all strings that it matches, or None if they are too many or unknown; then each
+    match starts with one of ``heads``, ends with one of ``tails``, and its text holds ``query``.
     """
 
-    def walk(nodes):
-        """Queries that hold for sure, and the strings that the last literal stretch may be (None: unknown)."""
-        held, exact = ANY, {b""}
-
-        def close():
-            nonlocal held, exact
-            held, exact = _all(held, _grams(exact)), {b""}
-
-        def join(strings):
-            nonlocal exact
-            if len(exact) * len(strings) > MOST_STRINGS:
-                close()
-            if len(strings) > MOST_STRINGS:
-                close()
-                return
-            exact = {a + b for a in exact for b in strings}
-
-        for op, arg in nodes:
-            if op is sre.LITERAL:
-                join({chr(arg).encode().lower()})
-            elif op is sre.IN and (chars := _few(arg)):
-                join(chars)
-            elif op is sre.SUBPATTERN:
-                query, strings = walk(arg[3])
-                held = _all(held, query)
-                join(strings) if strings is not None else close()
-            elif op is sre.BRANCH:
-                parts = [walk(x) for x in arg[1]]
-                if all(q == ANY and s is not None for q, s in parts):
-                    join(set().union(*(s for _, s in parts)))
-                else:
-                    close()
-                    held = _all(held, _either([_all(q, _grams(s)) if s is not None else q for q, s in parts]))
-            elif op in (sre.MAX_REPEAT, sre.MIN_REPEAT):
-                low, high, inner = arg
-                query, strings = walk(inner)
-                if (low, high) == (0, 1) and query == ANY and strings is not None:
-                    join(strings | {b""})
-                    continue
-                if low and query == ANY and strings is not None and len(strings) == 1 and low <= 32:
-                    join({next(iter(strings)) * low})
-                close()
-                if low:
-                    held = _all(held, query, _grams(strings) if strings is not None else ANY)
-            elif op is not sre.AT:
-                close()
-        return held, exact
-
-    query, strings = walk(sre_parser.parse(pattern, flags))
-    return _all(query, _grams(strings))
-
-
-def _few(items) -> set[bytes]:
-    """The folded characters of a small class, else nothing."""
-    out = set()
+    exact: frozenset[bytes] | None
+    heads: frozenset[bytes] = frozenset([b""])
+    tails: frozenset[bytes] = frozenset([b""])
+    query: tuple = ANY
+
+
+EMPTY = Part(frozenset([b""]))
+UNKNOWN = Part(None)
+
+
+def _cut(strings: frozenset[bytes], end: bool) -> frozenset[bytes]:
+    """At most two bytes of each string's start or end, fewer if there are still too many."""
+    for n in (2, 1):
+        if len(out := frozenset(s[-n:] if end else s[:n] for s in strings)) <= MOST_STRINGS:
+            return out
+    return frozenset([b""])
+
+
+def _opened(part: Part) -> Part:
+    """Without ``exact``: its trigrams go to the query."""
+    if part.exact is None:
+        return part
+    return Part(None, _cut(part.exact, False), _cut(part.exact, True), _all(part.query, _grams(part.exact)))
+
+
+def _then(a: Part, b: Part) -> Part:
+    if a.exact is not None and b.exact is not None and len(a.exact) * len(b.exact) <= MOST_STRINGS:
+        return Part(frozenset(x + y for x in a.exact for y in b.exact))
+    if a.exact is not None and b.exact is not None:
+        a = _opened(a)
+    product = lambda xs, ys: frozenset(x + y for x in xs for y in ys) if len(xs) * len(ys) <= MOST_STRINGS**2 else frozenset([b""])
+    heads = product(a.exact, b.heads) if a.exact is not None else a.heads
+    tails = product(a.tails, b.exact) if b.exact is not None else b.tails
+    between = product(a.exact if a.exact is not None else a.tails, b.exact if b.exact is not None else b.heads)
+    own = [_grams(x.exact) for x in (a, b) if x.exact is not None]
+    query = _all(a.query, b.query, _grams(heads), _grams(tails), _grams(between), *own)
+    return Part(None, _cut(heads, False), _cut(tails, True), query)
+
+
+def _or(parts: list[Part]) -> Part:
+    if all(x.exact is not None for x in parts) and len(union := frozenset().union(*(x.exact for x in parts))) <= MOST_STRINGS:
+        return Part(union)
+    parts = [_opened(x) for x in parts]
+    heads, tails = frozenset().union(*(x.heads for x in parts)), frozenset().union(*(x.tails for x in parts))
+    return Part(None, _cut(heads, False), _cut(tails, True), _either([x.query for x in parts]))
+
+
+@cache
+def _cases(char: str, flags: int) -> frozenset[bytes] | None:
+    """What a character may stand for, folded; None if that isn't known."""
+    if not flags & re.IGNORECASE or (char.isascii() and not char.isalpha()):
+        return frozenset([char.encode().lower()])
+    if not char.isascii():
+        return None
+    beyond = "" if flags & re.ASCII else _beyond_ascii()
+    return frozenset([char.lower().encode(), *(x.encode() for x in beyond if re.fullmatch(char, x, re.IGNORECASE))])
+
+
+@cache
+def _beyond_ascii() -> str:
+    """Characters outside ASCII that a letter matches where case is ignored."""
+    return "".join(re.findall("[a-z]", "".join(chr(x) for x in range(128, 0x110000) if not 0xD800 <= x < 0xE000), re.IGNORECASE))
+
+
+def _class(items, flags: int) -> Part:
+    """A class of few characters; else one character that may be any."""
+    out: set[bytes] = set()
     for op, arg in items:
+        some = [arg] if op is sre.LITERAL else range(arg[0], arg[1] + 1) if op is sre.RANGE and arg[1] - arg[0] < 16 else None
+        if some is None or None in (cases := [_cases(chr(x), flags) for x in some]):
+            return UNKNOWN
+        out = out.union(*cases)
+    return Part(frozenset(out)) if len(out) <= 16 else UNKNOWN
+
+
+def _repeated(inner: Part, low: int, high: int) -> Part:
+    if low == 0:
+        return _or([EMPTY, inner]) if high == 1 else UNKNOWN
+    some = EMPTY
+    for _ in range(min(low, MOST_COPIES)):
+        some = _then(some, inner)
+    if low == high <= MOST_COPIES:
+        return some
+    return _opened(some)  # starts with these copies and ends with as many, whatever stands between
+
+
+def _sequence(nodes, flags: int) -> Part:
+    out = EMPTY
+    for op, arg in nodes:
         if op is sre.LITERAL:
-            out.add(chr(arg).encode().lower())
-        elif op is sre.RANGE and arg[1] - arg[0] < 16:
-            out |= {chr(x).encode().lower() for x in range(arg[0], arg[1] + 1)}
+            cases = _cases(chr(arg), flags)
+            part = UNKNOWN if cases is None else Part(cases)
+        elif op is sre.IN:
+            part = _class(arg, flags)
+        elif op is sre.SUBPATTERN:
+            part = _sequence(arg[3], (flags | arg[1]) & ~arg[2])
+        elif op is sre.ATOMIC_GROUP:
+            part = _sequence(arg, flags)
+        elif op is sre.BRANCH:
+            part = _or([_sequence(x, flags) for x in arg[1]])
+        elif op in (sre.MAX_REPEAT, sre.MIN_REPEAT, sre.POSSESSIVE_REPEAT):
+            part = _repeated(_sequence(arg[2], flags), arg[0], arg[1])
+        elif op in (sre.AT, sre.ASSERT, sre.ASSERT_NOT):
+            continue  # of no width; what an assertion asks for beside that is left out
         else:
-            return set()
-    return out if len(out) <= 16 else set()
+            part = UNKNOWN
+        out = _then(out, part)
+    return out
+
+
+def trigram_query(pattern: str, flags: int = 0):
+    """The expression's mandatory trigrams as ("gram", bytes), ("and", parts) or ("or", parts); ANY if none.
+
+    Every part of the expression gets the strings that it matches or, where these are unknown or
+    many, those that its matches start and end with and a query; parts that follow on each other
+    join what is known at the place where they meet. ASCII letters are folded, as in the index.
+    """
+    nodes = sre_parser.parse(pattern, flags)
+    return _opened(_sequence(nodes, nodes.state.flags)).query
 
 
 def grams_of(query) -> set[bytes]:

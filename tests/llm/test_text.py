@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import duckdb
+import pyarrow as pa
 import pytest
 
 from seine.llm import pii, quality, secrets
@@ -94,9 +95,65 @@ def test_trigram_queries_never_miss():
         query = secrets.trigram_query(rule.pattern, rule.flags)
         for _, text in SECRETS + [(0, "".join(rng.choice("paswordtkencri=:'\" AKI0") for _ in range(200))) for _ in range(200)]:
             if re.compile(rule.pattern, rule.flags).search(text):
-                data = text.encode().lower()
-                held = lambda q: q[1] in data if q[0] == "gram" else (all if q[0] == "and" else any)(map(held, q[1]))  # noqa: B023, E731
-                assert held(query), (rule.kind, text)
+                assert held(query, folded(text)), (rule.kind, text)
+
+
+def held(query, data):
+    """Whether folded bytes hold what a query asks for."""
+    return query[1] in data if query[0] == "gram" else (all if query[0] == "and" else any)(held(x, data) for x in query[1])
+
+
+def folded(text):
+    return text.encode().lower()
+
+
+@pytest.mark.parametrize("pattern, text", [("ab(c.*d)ef", "abc--def"), ("key(=.*)end", "key=1end"), ("abc(x.y|z)def", "abcx9ydef"), ("ab(x.y)?cd", "abcd"), ("tok_(live|t.st)_[a-z]{8}", "tok_t3st_abcdefgh"), ("(?:ab(c|d.)){2}e", "abcabd9e")])
+def test_trigram_queries_of_groups(pattern, text):
+    assert re.search(pattern, text) and held(secrets.trigram_query(pattern), folded(text))
+    whole = tuple(secrets.Rule("own", p) for p in (pattern, "zzz"))
+    assert secrets.Scanner(whole).spans(pa.array([text, "", "other"]), [text, "", "other"]) == [[("own", 0, len(text))], [], []]
+
+
+def random_pattern(rng, depth):
+    """An expression, and a function that makes texts which it likely matches."""
+    kind = rng.randrange(4 if depth == 0 else 13)
+    signs = "abcAkKs\u017f\u212aé\u0130i_-"
+    one = lambda p, *some: (p, lambda: rng.choice(some))
+    if kind < 2:
+        text = "".join(rng.choice(signs) for _ in range(rng.randrange(1, 5)))
+        return one(re.escape(text), text, text.swapcase(), text.upper(), text.lower())
+    if kind == 2:
+        some = "".join(sorted(set(rng.choice("abcks\u017fé") for _ in range(rng.randrange(1, 4)))))
+        return one(f"[{some}]", *some)
+    if kind == 3:
+        return rng.choice((one(".", *signs), one("[^a]", "b", "é"), one(r"\w", *"abz"), one("^", ""), one(r"\b", ""), one("(?=a)", ""), one("(?!b)", ""), one("[a-z]", *"asz\u017f")))
+    parts = [random_pattern(rng, depth - 1) for _ in range(rng.randrange(1, 4))]
+    if kind < 8:
+        return "".join(p for p, _ in parts), lambda: "".join(f() for _, f in parts)
+    if kind < 10:
+        return "(" + "|".join(p for p, _ in parts) + ")", lambda: rng.choice(parts)[1]()
+    p, f = parts[0]
+    if kind == 10:
+        return rng.choice(("(?:{})", "({})", "(?i:{})", "(?>{})")).format(p), f
+    low, more = rng.choice(((0, 1), (0, 3), (1, 2), (2, 0), (3, 2), (9, 1)))
+    times = {(0, 1): "?", (0, 3): "*", (1, 2): "+"}.get((low, more), f"{{{low},{low + more}}}" if more else f"{{{low}}}")
+    return f"(?:{p}){times}{rng.choice(('', '?'))}", lambda: "".join(f() for _ in range(low + rng.randrange(more + 1)))
+
+
+def test_trigram_queries_of_random_expressions_never_miss():
+    rng = random.Random(11)
+    matched = asked = 0
+    for _ in range(4000):
+        pattern, sample = random_pattern(rng, 3)
+        flags = rng.choice((0, re.IGNORECASE, re.IGNORECASE | re.ASCII))
+        query, compiled = secrets.trigram_query(pattern, flags), re.compile(pattern, flags)
+        asked += query != secrets.ANY
+        for _ in range(4):
+            text = rng.choice(("", "ab", "kS")) + sample() + rng.choice(("", "c", "-"))
+            if compiled.search(text):
+                matched += 1
+                assert held(query, folded(compiled.search(text)[0])), (pattern, flags, text, query)
+    assert matched > 8000 and asked > 1000
 
 
 def luhn(n):
