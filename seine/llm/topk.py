@@ -1,10 +1,12 @@
 """Exact top-k by inner product: term-at-a-time accumulation over blocks.
 
-Vectors become blocks, one binary row each. A block of candidates is a set of postings, one
-list of weights a component; each component of a query that isn't zero adds its weighted
-postings to a dense array of scores, and a partition selection keeps the k best. Blocks of
-queries meet blocks of candidates by an equi-join on the query block's number, so what moves
-is whole blocks, and no single row is paired with another. Partial winners merge per query.
+Vectors become blocks, one binary row each, of the narrowest integers that hold their weights.
+A block of candidates is a set of postings, a list of places and weights for each component,
+or all weights where few are zero; each component of a query that isn't zero adds its weighted
+postings to a dense array of scores, and a partition selection keeps the k best. Queries are
+dealt to numbered blocks by a hash, blocks of candidates go once to each number, and the two
+meet by an equi-join on it, so what moves is whole blocks, and no single row is paired with
+another. Partial winners merge per query.
 """
 
 from __future__ import annotations
@@ -18,10 +20,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import map_arrow
-from .shared import task, written
+from .shared import written
 
-RESULT = "query string, query_id long, vec_id long, score long"
-BLOCKS = "block string, n int, width int, ids binary, weights binary"
+RESULT = "query long, query_id long, vec_id long, score long"
+BLOCKS = "q_block int, n int, width int, kind string, ids binary, weights binary"
 
 
 def quantised(rows: DataFrame, id_col: str, vector_col: str, factor: float) -> DataFrame:
@@ -32,41 +34,56 @@ def quantised(rows: DataFrame, id_col: str, vector_col: str, factor: float) -> D
     return rows.where(F.coalesce(whole, F.lit(False)) & F.col("vec_id").isNotNull()).select("vec_id", F.transform("_v", lambda x: F.floor(F.lit(factor) * x).cast("long")).alias("weights"))
 
 
-def blocked(vectors: DataFrame, rows: int) -> DataFrame:
-    """Blocks of at most ``rows`` vectors of a task, padded with zeros to one width."""
+def blocked(vectors: DataFrame, rows: int | None = None) -> DataFrame:
+    """Blocks of at most ``rows`` vectors of a task or, without it, of each q_block; padded with zeros to one width."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, weights, k = [], [], 0
+        ids, weights, last = [], [], None
 
         def block() -> pa.RecordBatch:
-            width = max(map(len, weights))
-            table = np.zeros((len(ids), width), "<i8")
+            table = np.zeros((len(ids), max(map(len, weights))), "<i8")
             for row, w in zip(table, weights, strict=True):
                 row[: len(w)] = w
-            return pa.RecordBatch.from_pydict({"block": [f"{task()}/{k}"], "n": pa.array([len(ids)], pa.int32()), "width": pa.array([width], pa.int32()), "ids": pa.array([np.array(ids, "<i8").tobytes()], pa.binary()), "weights": pa.array([table.tobytes()], pa.binary())})
+            kind = next(k for k in ("<i2", "<i4", "<i8") if table.size == 0 or np.iinfo(k).min <= table.min() and table.max() <= np.iinfo(k).max)
+            return pa.RecordBatch.from_pydict({"q_block": pa.array([last], pa.int32()), "n": pa.array([len(ids)], pa.int32()), "width": pa.array([table.shape[1]], pa.int32()), "kind": [kind], "ids": pa.array([np.array(ids, "<i8").tobytes()], pa.binary()), "weights": pa.array([table.astype(kind).tobytes()], pa.binary())})
 
         for batch in batches:
-            for vec_id, w in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for number, vec_id, w in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if ids and (number != last or len(ids) == rows):
+                    yield block()
+                    ids, weights = [], []
                 ids.append(vec_id)
                 weights.append(w)
-                if len(ids) == rows:
-                    yield block()
-                    ids, weights, k = [], [], k + 1
+                last = number
         if ids:
             yield block()
 
-    return map_arrow(vectors, pack, BLOCKS)
+    return map_arrow(vectors.select("q_block", "vec_id", "weights"), pack, BLOCKS)
+
+
+def postings_of(table: np.ndarray) -> list[tuple[np.ndarray | None, np.ndarray]]:
+    """For each component the places and weights that aren't zero, or None and all weights where most aren't."""
+    out = []
+    for column in np.ascontiguousarray(table.T):
+        at = np.flatnonzero(column)
+        out.append((at, column[at]) if 2 * len(at) < len(column) else (None, column))
+    return out
 
 
 def best_of(queries: np.ndarray, query_ids: np.ndarray, table: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The k best candidates of each query within one block, ties to the smaller id: the query's place in its block, id, score."""
     order = np.argsort(ids, kind="stable")
-    ids, postings = ids[order], np.ascontiguousarray(table[order].T)
+    ids, postings = ids[order], postings_of(table[order])
     out = []
     for place, (q, own) in enumerate(zip(queries, query_ids, strict=True)):
         scores = np.zeros(len(ids), "i8")
         for term in np.flatnonzero(q[: len(postings)]):
-            scores += q[term] * postings[term]
+            at, weights = postings[term]
+            part = np.multiply(weights, q[term], dtype="i8")
+            if at is None:
+                scores += part
+            else:
+                scores[at] += part
         open_ = np.flatnonzero(ids != own)
         if len(open_) > k:
             held = scores[open_]
@@ -86,25 +103,24 @@ def exact_top_k(rows: DataFrame, k: int = 5, factor: float = 256.0, every: int =
     answered once a distinct vector, and rows of its own id are no candidates for it. Other columns are not read.
     """
     vectors = written(quantised(rows, id_col, vector_col, factor), "vectors")
-    asked = blocked(vectors.where(F.col("vec_id") % every == 0).distinct(), query_rows)
-    asked = written(asked.select(F.col("block").alias("q_block"), F.col("n").alias("q_n"), F.col("width").alias("q_width"), F.col("ids").alias("q_ids"), F.col("weights").alias("q_weights")), "queries")
-    numbers = asked.select("q_block")
-    # Each candidate block goes once to each query block; the list of query blocks has one short string for every query_rows queries.
-    targets = numbers.agg(F.collect_list("q_block").alias("targets"))
-    held = blocked(vectors, candidate_rows)
-    there = targets.first().targets
-    if not there:
+    asked = vectors.where(F.col("vec_id") % every == 0).distinct()
+    blocks = -(-asked.count() // query_rows)
+    if not blocks:
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    dealt = held.withColumn("q_block", F.explode(F.array(*map(F.lit, there))))
-    pairs = dealt.join(asked, "q_block").select("q_block", "q_n", "q_width", "q_ids", "q_weights", "n", "width", "ids", "weights")
+    numbered = asked.withColumn("q_block", F.pmod(F.xxhash64("vec_id", "weights"), F.lit(blocks)).cast("int"))
+    asked = blocked(numbered.repartition("q_block").sortWithinPartitions("q_block"))
+    asked = asked.select("q_block", *(F.col(c).alias(f"q_{c}") for c in ("n", "width", "kind", "ids", "weights")))
+    held = blocked(vectors.withColumn("q_block", F.lit(None).cast("int")), candidate_rows)
+    dealt = held.withColumn("q_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    pairs = dealt.join(asked, "q_block").select("q_block", "q_n", "q_width", "q_kind", "q_ids", "q_weights", "n", "width", "kind", "ids", "weights")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                block, qn, qw, qi, qv, n, w, ids, table = (c[i].as_py() for c in batch.columns)
+                block, qn, qw, qk, qi, qv, n, w, kind, ids, table = (c[i].as_py() for c in batch.columns)
                 own = np.frombuffer(qi, "<i8")
-                place, found, value = best_of(np.frombuffer(qv, "<i8").reshape(qn, qw), own, np.frombuffer(table, "<i8").reshape(n, w), np.frombuffer(ids, "<i8"), k)
-                yield pa.RecordBatch.from_pydict({"query": pa.array([f"{block}/{x}" for x in place], pa.string()), "query_id": pa.array(own[place.astype("i8")], pa.int64()), "vec_id": pa.array(found, pa.int64()), "score": pa.array(value, pa.int64())})
+                place, found, value = best_of(np.frombuffer(qv, qk).reshape(qn, qw), own, np.frombuffer(table, kind).reshape(n, w), np.frombuffer(ids, "<i8"), k)
+                yield pa.RecordBatch.from_pydict({"query": pa.array((block << 32) + place.astype("i8")), "query_id": pa.array(own[place.astype("i8")], pa.int64()), "vec_id": pa.array(found, pa.int64()), "score": pa.array(value, pa.int64())})
 
     rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id"))
     return map_arrow(pairs, score, RESULT).select("query_id", rank.cast("int").alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
