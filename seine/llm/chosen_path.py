@@ -31,8 +31,9 @@ from .components import components
 from .shared import drop, task, text_digest, written
 
 TOKENS = 64
-#: Sets that a node may have to be compared at once, and the size of a block of a larger one.
+#: Sets that a node may have to be compared at once, and the size of a block of one that stays larger to the last depth.
 SMALL = 256
+BLOCK = 1024
 DEPTH = 4
 SETS = "uid long, doc_id long, fp binary, n int, sig binary, nodes array<long>, td binary"
 #: Sets go on if their min-hash tokens agree this many standard deviations below the threshold or better.
@@ -236,19 +237,13 @@ def _counted_here(group: pa.RecordBatch, similarity: float) -> np.ndarray:
     """Which pairs of a unit's sets are of it: across its two blocks, of like sizes, and with its node the least they share."""
     node, a, b = (group.column(k)[0].as_py() for k in range(3))
     own, n = np.array(group.column(3).to_pylist()), np.array(group.column(5).to_pylist(), "f8")
-    paths = group.column(6).to_pylist()
+    paths = [np.array([p for p in own_paths if p < node], "i8") for own_paths in group.column(6).to_pylist()]
     ok = np.minimum.outer(n, n) >= (similarity - 1e-9) * np.maximum.outer(n, n)
     if a != b:
         ok &= own[:, None] != own[None, :]
     ok &= ~np.eye(len(n), dtype=bool)
-    lower = sorted({p for own_paths in paths for p in own_paths if p < node})
-    if lower:
-        slot = {p: k for k, p in enumerate(lower)}
-        earlier = np.zeros((len(n), len(lower)), "f4")
-        for k, own_paths in enumerate(paths):
-            earlier[k, [slot[p] for p in own_paths if p < node]] = 1
-        shared = earlier.sum(0) > 1
-        ok &= (earlier[:, shared] @ earlier[:, shared].T) == 0
+    if any(map(len, paths)):
+        ok &= common_counts(paths) == 0
     return ok
 
 
@@ -360,7 +355,7 @@ def jaccard_classes(docs: DataFrame, n: int = 5, similarity: float = 0.8, recall
     drop(*spent)
     paths = ends.groupBy("rid").agg(F.collect_set("node").alias("paths"))  # at most runs * 2^DEPTH nodes
     about = reps.join(paths, "rid").select("rid", "n", "sig", "paths")
-    blocks = F.ceil(F.col("size") / F.lit(SMALL)).cast("int")
+    blocks = F.when(F.col("size") <= SMALL, 1).otherwise(F.ceil(F.col("size") / F.lit(BLOCK)).cast("int"))
     units = ends.select("node", "rid", F.pmod(F.xxhash64("rid"), blocks).cast("int").alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
     units = units.select("node", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "own", "rid")
     likely = written(likely_members(_dealt(units.join(about, "rid")), similarity), "likely")
