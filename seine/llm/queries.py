@@ -27,6 +27,10 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PSEUDONYM_KEY = "registered query"
 
 
+#: Words of a passage that may stand in one place alone.
+PASSAGE = 50
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -62,8 +66,9 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = remove_repeats(table(spark, sf_dir, "documents"), ["doc_id"], length=400)
-    return out.select("_kept.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    """Strings of 400 bytes as counts and a digest; ``text`` is the text without passages of 50 words that start elsewhere too."""
+    out = remove_repeats(table(spark, sf_dir, "documents"), ["doc_id"], length=400, words=PASSAGE, texts=True)
+    return out.select("_kept.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passage_words", "n_passages", F.col("kept_text").alias("text"))
 
 
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,10 +120,18 @@ m AS (SELECT doc_id, i FROM h WHERE h IN (SELECT h FROM h GROUP BY h HAVING coun
 s AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) before FROM m),
 k AS (SELECT doc_id, i, sum(CASE WHEN before IS NULL OR before + 400 < i THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) run FROM s),
 r AS (SELECT doc_id, run, min(i) lo, max(i) + 399 hi FROM k GROUP BY 1, 2),
-e AS (SELECT doc_id, list([lo, hi] ORDER BY lo) runs, CAST(sum(hi - lo + 1) AS BIGINT) n_removed, count(*) n_spans FROM r GROUP BY 1)
-SELECT doc_id, CAST(octet_length(b) AS BIGINT) n_bytes, coalesce(n_removed, 0) n_removed, coalesce(n_spans, 0) n_spans,
+e AS (SELECT doc_id, list([lo, hi] ORDER BY lo) runs, CAST(sum(hi - lo + 1) AS BIGINT) n_removed, count(*) n_spans FROM r GROUP BY 1),
+w AS (SELECT doc_id, regexp_extract_all(t, '[^\x20\x09-\x0D]+') w, string_split_regex(t, '[^\x20\x09-\x0D]+') g FROM (SELECT doc_id, coalesce(text, '') t FROM documents)),
+wp AS (SELECT doc_id, w, unnest(range(1, len(w) - 48)) i FROM w WHERE len(w) >= 50),
+wh AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) h FROM wp),
+wm AS (SELECT doc_id, i FROM wh WHERE h IN (SELECT h FROM wh GROUP BY h HAVING count(*) > 1)),
+wg AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) k FROM wm),
+wk AS (SELECT doc_id, w[k] word, g[k + 1] gap, k, wg.k IS NOT NULL gone FROM (SELECT doc_id, w, g, unnest(range(1, len(w) + 1)) k FROM w) LEFT JOIN wg USING (doc_id, k)),
+wl AS (SELECT *, lag(gone, 1, false) OVER (PARTITION BY doc_id ORDER BY k) before, lead(gone, 1, false) OVER (PARTITION BY doc_id ORDER BY k) after FROM wk),
+wt AS (SELECT doc_id, count(*) FILTER (gone) n_passage_words, count(*) FILTER (gone AND NOT before) n_passages, string_agg(CASE WHEN gone THEN '' ELSE word END || CASE WHEN gone AND after THEN '' ELSE gap END, '' ORDER BY k) rest FROM wl GROUP BY doc_id)
+SELECT doc_id, coalesce(n_passage_words, 0) n_passage_words, coalesce(n_passages, 0) n_passages, g[1] || coalesce(rest, '') AS text, CAST(octet_length(b) AS BIGINT) n_bytes, coalesce(n_removed, 0) n_removed, coalesce(n_spans, 0) n_spans,
   sha256(CASE WHEN runs IS NULL THEN b ELSE list_reduce(list_transform(range(0, len(runs) + 1), lambda x: b[CASE WHEN x = 0 THEN 1 ELSE runs[x][2] + 1 END : CASE WHEN x = len(runs) THEN octet_length(b) ELSE runs[x + 1][1] - 1 END]), lambda x, y: x || y) END) kept_sha256
-FROM d LEFT JOIN e USING (doc_id)""",
+FROM d LEFT JOIN e USING (doc_id) JOIN w USING (doc_id) LEFT JOIN wt USING (doc_id)""",
     "op10_jaccard_join": r"""
 WITH w AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\pL\pN_]+') w FROM documents),
 p AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) i FROM w WHERE len(w) > 0),

@@ -33,9 +33,9 @@ def test_suffix_arrays_find_all_repeated_windows():
     for _ in range(150):
         pieces = [bytes(rng.choice(b"ab\0") for _ in range(rng.randrange(1, 60))) for _ in range(rng.randrange(1, 8))]
         length = rng.randrange(2, 20)
-        again, order, shared = suffix_dedup.repeated_windows(pieces, length)
         whole, ends = b"".join(pieces), np.repeat(np.cumsum([len(p) for p in pieces]), [len(p) for p in pieces])
         windows = [whole[k : k + length] if k + length <= ends[k] else None for k in range(len(whole))]
+        again, order, shared = suffix_dedup.repeated_windows([np.frombuffer(p, "u1") for p in pieces], length)
         assert again.tolist() == [w is not None and windows.count(w) > 1 for w in windows]
         suffixes = [whole[k : ends[k]] for k in order]
         assert suffixes == sorted(suffixes)
@@ -59,6 +59,94 @@ def test_remove_repeats(spark, monkeypatch, contexts):
     assert suffix_dedup.remove_repeats(empty(spark), ["doc_id"], length=100).count() == 0
 
 
+def test_no_context_with_a_repeated_window_is_put_aside():
+    """Contexts as they come from texts, against all windows of the others."""
+    rng = random.Random(13)
+    for kind, length in (("u1", 100), ("u1", 70), ("<u4", 20)):
+        for _ in range(30):
+            shared = [rng.choices(range(5), k=rng.randrange(length - 10, 2 * length)) for _ in range(3)]
+            texts = [np.array(rng.choices(range(5), k=60) + rng.choice(shared)[rng.randrange(12) :] + rng.choices(range(5), k=60), kind) for _ in range(12)]
+            part, first, windows, gram, context, _ = suffix_dedup.anchors(texts, length)
+            kinds = {(g, c): texts[p][f : f + w + length - 1] for p, f, w, g, c in zip(part, first, windows, gram.view("i8").tolist(), context.tolist(), strict=True)}
+            bodies, names = list(kinds.values()), [g for g, _ in kinds]
+            with np.errstate(over="ignore"):
+                use = suffix_dedup.alike(bodies, names, length)
+            seen = {}
+            for k, (body, name) in enumerate(zip(bodies, names, strict=True)):
+                for w in range(len(body) - length + 1):
+                    seen.setdefault((name, body[w : w + length].tobytes()), set()).add(k)
+            assert all(use[k] for found in seen.values() if len(found) > 1 for k in found)
+
+
+def test_suffix_arrays_over_words():
+    rng = random.Random(9)
+    for _ in range(150):
+        pieces = [[rng.randrange(4) << 29 | rng.randrange(2) for _ in range(rng.randrange(1, 50))] for _ in range(rng.randrange(1, 8))]
+        length = rng.randrange(1, 12)
+        again, order, shared = suffix_dedup.repeated_windows([np.array(p, "<u4") for p in pieces], length)
+        ends = np.repeat(np.cumsum([len(p) for p in pieces]), [len(p) for p in pieces])
+        whole = [x for p in pieces for x in p]
+        windows = [tuple(whole[k : k + length]) if k + length <= ends[k] else None for k in range(len(whole))]
+        assert again.tolist() == [w is not None and windows.count(w) > 1 for w in windows]
+        suffixes = [whole[k : ends[k]] for k in order]
+        assert suffixes == sorted(suffixes)
+        for r in range(1, len(order)):
+            a, b = suffixes[r - 1], suffixes[r]
+            assert shared[r] == next((k for k, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+
+
+def brute_passages(texts, n):
+    """Words in passages, passages, and the text left, by looking at every window of n words."""
+    found = [[m.span() for m in re.finditer("[^\x20\x09-\x0d]+", t or "")] for t in texts]
+    said = [[(t or "")[a:b] for a, b in spans] for t, spans in zip(texts, found, strict=True)]
+    count = {}
+    for w in said:
+        for k in range(len(w) - n + 1):
+            count[tuple(w[k : k + n])] = count.get(tuple(w[k : k + n]), 0) + 1
+    out = []
+    for t, w, spans in zip(texts, said, found, strict=True):
+        gone = set()
+        for k in range(len(w) - n + 1):
+            if count[tuple(w[k : k + n])] > 1:
+                gone |= set(range(k, k + n))
+        left, at = "", 0
+        for k in sorted(gone):
+            if k - 1 not in gone:
+                left += (t or "")[at : spans[k][0]]
+            at = spans[k][1]
+        out.append((len(gone), len([k for k in gone if k - 1 not in gone]), left + (t or "")[at:]))
+    return out
+
+
+@pytest.mark.parametrize("contexts", [1024, 2])
+def test_remove_passages(spark, monkeypatch, contexts):
+    """Passages of 51 to 70 words in several documents, with other white space, within a text, and shorter ones that stay."""
+    monkeypatch.setattr(suffix_dedup, "SHARD_CONTEXTS", contexts)
+    rng = random.Random(12)
+    shared = [words(rng, n, 5000) for n in (51, 53, 60, 70, 49, 50, 200)]
+    rows = list(ROWS)
+    for k in range(40):
+        passage = shared[k % 7]
+        passage = passage.replace(" ", rng.choice((" ", "\n", " \t "))) if k % 2 else passage
+        rows.append((100 + k, words(rng, 20 + k, 5000) + " é " + passage + "\n" + words(rng, 30, 5000)))
+    rows += [(200, shared[6][: len(shared[6]) // 2] + " " + words(rng, 20, 5000)), (201, words(rng, 55, 5000) + " x " + " ".join(shared[2:4])), (202, " ".join([words(rng, 52, 5000)] * 2)), (203, words(rng, 400, 5000))]
+    got = suffix_dedup.remove_repeats(frame(spark, rows), ["doc_id", "td"], length=100, words=50, texts=True).collect()
+    want = sorted((str(i), *a, *b) for (i, t), a, b in zip(rows, brute_passages([t for _, t in rows], 50), brute_repeats([t for _, t in rows], 100), strict=True))
+    assert sorted((str(r._kept.doc_id), r.n_passage_words, r.n_passages, r.kept_text, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == want
+    alone = suffix_dedup.remove_repeats(frame(spark, rows), ["doc_id"], length=0, words=50, texts=True)
+    assert alone.columns == ["_kept", "n_bytes", "n_passage_words", "n_passages", "passages", "kept_text"]
+    assert sorted((str(r._kept.doc_id), r.n_passage_words, r.n_passages, r.kept_text, r.n_bytes) for r in alone.collect()) == [x[:5] for x in want]
+    assert suffix_dedup.remove_repeats(empty(spark), ["doc_id"], words=50).count() == 0
+
+
+def test_words_of_a_long_text_are_hashed_slab_by_slab(monkeypatch):
+    text = words(random.Random(3), 4000, 300) + " " + "y" * 5000 + " end"
+    whole = suffix_dedup.units_of(text, "<u4")
+    monkeypatch.setattr(suffix_dedup, "SLAB", 100)
+    assert (suffix_dedup.units_of(text, "<u4") == whole).all() and len(whole) == 4002 and len(set(whole.tolist())) == len(set(text.split()))
+    assert not len(suffix_dedup.units_of(None, "<u4")) and not len(suffix_dedup.units_of(" \n", "<u4"))
+
+
 def grams(text, n=5):
     w = re.findall(r"\w+", (text or "").lower())
     return frozenset(tuple(w[k : k + n]) for k in range(max(1, len(w) - n + 1))) if w else frozenset()
@@ -90,6 +178,7 @@ def brute_classes(rows, least=0.8):
 def test_jaccard_classes(spark, monkeypatch, small):
     """Copies, near copies of each other in chains, one large group, and groups over the size of a node."""
     monkeypatch.setattr(chosen_path, "SMALL", small)
+    monkeypatch.setattr(chosen_path, "BLOCK", 2 * small)
     rng = random.Random(3)
     rows = list(ROWS)
     for g in range(12):
