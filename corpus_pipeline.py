@@ -1,7 +1,7 @@
 """A training corpus from ``documents``: five stages, each written as Parquet and read again by the next.
 
 Quality rules drop documents; the n-gram Jaccard join leaves one document of each group;
-strings of 400 bytes that repeat go; secrets are blotted out; best fit packs what is left.
+passages of 50 words that repeat go; secrets are blotted out; best fit packs what is left.
 Every stage but the last returns the columns of ``documents``, with ``n_chars`` following the
 text where there is one.
 """
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from seine.llm.chosen_path import jaccard_classes
 from seine.llm.packing import pack_documents
 from seine.llm.quality import judge
-from seine.llm.queries import WORD_BPE, table
+from seine.llm.queries import PASSAGE, WORD_BPE, table
 from seine.llm.secrets import find_secrets
 from seine.llm.shared import text_digest, written
 from seine.llm.suffix_dedup import remove_repeats
@@ -28,7 +28,11 @@ def _with_text(rows: DataFrame, text: str) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that the base or the posterior rejects."""
+    """Without the documents that the base or the posterior rejects.
+
+    A null, empty or very short text goes; a very long one is judged whole; rows that repeat are
+    judged alike, whatever their ids. An empty table gives no rows.
+    """
     return judge(docs, docs.columns).where("kept").select(*(F.col("_kept").getField(c).alias(c) for c in docs.columns))
 
 
@@ -52,17 +56,29 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the strings of 400 bytes that start in two places or more."""
-    return _with_text(remove_repeats(docs, docs.columns, length=400, texts=True), "kept_text")
+    """Texts without the passages of 50 words that start in two places or more.
+
+    All occurrences go alike; a null text becomes an empty one, texts of fewer words stay as they
+    are, and a repeated row repeats its text. No row goes, and an empty table gives none.
+    """
+    return _with_text(remove_repeats(docs, docs.columns, length=0, words=PASSAGE, texts=True), "kept_text")
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with each secret replaced by its kind."""
+    """Texts with each secret replaced by its kind.
+
+    Null and empty texts stay as they are, long ones are scanned whole, repeated rows stay
+    repeated, and an empty table gives no rows.
+    """
     return _with_text(find_secrets(docs, docs.columns, redacted=True), "redacted_text")
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of at most 4096 tokens with their places in sequences."""
+    """Pieces of at most 4096 tokens with their places in sequences.
+
+    A null or empty text is its end id alone; longer texts than a sequence are cut into pieces;
+    each repeated row is packed; an empty table gives no rows.
+    """
     return pack_documents(docs, WORD_BPE, end_id=1, size=4096)
 
 
