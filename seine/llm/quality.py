@@ -1,15 +1,19 @@
 """Quality by weak supervision: rules vote or abstain, expectation-maximisation weighs them.
 
 Everything that touches rows is a DataFrame expression. Votes are counted by pattern (at most
-3 to the number of rules, whatever the corpus), the driver fits each rule's rates of voting
-for good and for bad texts on those counts, and the posterior probability of a good text is
-again an expression. A rule that seldom speaks but is then right weighs much; the share of
-good votes alone decides nothing.
+3 to the number of rules, whatever the corpus) and the driver fits a latent class model to
+those counts: good texts, and a class of bad ones for each family of rules, as a text of signs
+is bad in another way than one that repeats itself. Each class has its own share and its own
+rate at which each rule calls its texts bad, so a rule that often errs on good texts weighs
+little and rules that speak together weigh much. The posterior probability of a good text is
+again an expression.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,18 +25,23 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 #: Words in which distinct ones are counted at once; over a whole text their share would fall with its length.
 BLOCK = 1000
-#: Thresholds below or above which a rule calls a text good or bad; between them it abstains.
-RULES = ("symbols", "capitals", "shouts", "lines", "repeats", "variety", "echoes", "length")
-ROUNDS = 50
-#: Before any counts: the share of good texts, and of a rule's votes those that are bad, for bad and for good texts.
+#: What rules look at, by the kind of bad text that they are meant to find. Beyond a threshold a rule calls a text
+#: good or bad; between the two it abstains.
+FAMILIES = {"signs": ("symbols", "plain", "letters", "wordless"), "case": ("capitals", "uppers", "shouts"), "repeats": ("lines", "repeats", "variety", "echoes"), "shapes": ("length", "odd_words")}
+RULES = tuple(k for family in FAMILIES.values() for k in family)
+ROUNDS = 200
+#: Where the rounds start: the share of good texts, and how often a rule calls bad a text of its own family's class or of any other.
 START_GOOD = 0.9
-START_BAD_TEXT = 0.3
-START_GOOD_TEXT = 0.005
-#: What a rule is for: it calls bad at most so large a share of good texts, and at least so large a share of bad ones.
-MOST_FALSE = 0.005
-LEAST_FOUND = 0.1
-#: Added to each count, so that a rule without votes keeps its start.
-SMOOTH = 5.0
+START_OWN = 0.6
+START_OTHER = 0.05
+#: A class is bad by what its family says: on average, its rules call at least so many of its texts bad.
+CHANCE = 0.5
+#: Rates are free between these; one vote of each kind is added to each, one text to each class.
+EDGE = 1e-4
+#: A word of plain text, with what may stand around it.
+PLAIN = r"""^["'(\[]?[\p{L}\p{M}\p{N}'\u2019-]+[.,;:!?"')\]]*$"""
+#: A run of Latin signs that is longer than words are.
+OVERLONG = r"^[\x21-\x7E\u00C0-\u024F]{21,}$"
 
 
 def words_of(text: Column) -> Column:
@@ -84,12 +93,17 @@ def measures(text: Column) -> dict[str, Column]:
         F.size(F.filter(words, lambda w: w.endswith("!"))).cast("long").alias("n_shout_words"),
         block_distinct_words(words).alias("n_distinct_words"),
         F.size(F.filter(words, lambda w, k: w == F.get(words, k - 1))).cast("long").alias("n_echo_words"),
+        F.size(F.filter(words, lambda w: w.rlike(PLAIN))).cast("long").alias("n_plain_words"),
+        F.size(F.filter(words, lambda w: w.rlike(r"\p{L}"))).cast("long").alias("n_letter_words"),
+        F.size(F.filter(words, lambda w: (F.length(w) == 1) | w.rlike(OVERLONG))).cast("long").alias("n_odd_words"),
     )
     return {
         "_words": let(words_of(text), per_words),
         "_lines": let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"))),
         "word_chars": (F.length(text) - _without(text, " \t\n\x0b\f\r")).cast("long"),
         "n_symbols": _without(text, SYMBOLS).cast("long"),
+        "n_letters": F.length(F.regexp_replace(text, r"[^\p{L}\p{M}]+", "")).cast("long"),
+        "n_upper_letters": F.length(F.regexp_replace(text, r"\P{Lu}+", "")).cast("long"),
     }
 
 
@@ -101,15 +115,21 @@ def votes() -> dict[str, Column]:
         return F.when(share > bad, -1).when(share < good, 1).otherwise(0)
 
     length = F.col("word_chars") / n
+    signs = F.nullif(F.col("word_chars"), F.lit(0)).cast("double")
     return {
         "symbols": vote(F.col("n_symbols") / n, 0.05, 0.25),
+        "plain": vote(1 - F.col("n_plain_words") / n, 0.20, 0.50),
+        "letters": vote(1 - F.col("n_letters") / signs, 0.15, 0.25),
+        "wordless": vote(1 - F.col("n_letter_words") / n, 0.05, 0.20),
         "capitals": vote(F.col("n_capital_words") / n, 0.10, 0.30),
+        "uppers": vote(F.col("n_upper_letters") / F.nullif(F.col("n_letters"), F.lit(0)).cast("double"), 0.15, 0.40),
         "shouts": vote(F.col("n_shout_words") / n, 0.05, 0.25),
         "lines": vote(F.col("n_dup_lines") / F.nullif(F.col("n_lines"), F.lit(0)).cast("double"), 0.10, 0.40),
         "repeats": vote(F.col("n_repeat_words") / n, 0.10, 0.30),
         "variety": F.when(F.col("n_words") < 30, 0).otherwise(vote(1 - F.col("n_distinct_words") / n, 0.70, 0.80)),
         "echoes": vote(F.col("n_echo_words") / n, 0.10, 0.40),
         "length": F.when((length > 20) | (length < 1.5), -1).when(length.between(2.5, 12), 1).otherwise(0),
+        "odd_words": vote(F.col("n_odd_words") / n, 0.30, 0.60),
     }
 
 
@@ -117,44 +137,83 @@ def measured(docs: DataFrame, keep: list[str], text_col: str = "text") -> DataFr
     """The ``keep`` columns as given, the measures, base_failed and a struct of votes."""
     text = F.col("_text")
     out = docs.select(F.struct(*keep).alias("_kept"), F.col(text_col).alias("_text")).select("_kept", *(c.alias(k) for k, c in measures(text).items()))
-    out = out.select("_kept", "_words.*", "_lines.*", "word_chars", "n_symbols")
+    out = out.select("_kept", "_words.*", "_lines.*", "word_chars", "n_symbols", "n_letters", "n_upper_letters")
+    cast = votes()
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    return out.select("*", failed.alias("base_failed"), F.struct(*(c.cast("int").alias(k) for k, c in votes().items())).alias("_votes"))
+    return out.select("*", failed.alias("base_failed"), F.struct(*(cast[k].cast("int").alias(k) for k in RULES)).alias("_votes"))
 
 
-def fit(counts: dict[tuple[int, ...], int]) -> tuple[float, list[tuple[float, float]]]:
-    """The share of good texts and, per rule, P(bad vote | bad text, votes) and P(bad vote | good text, votes).
+class Model(NamedTuple):
+    """Per class, the good one first: its share, and for each rule P(bad vote | class, votes)."""
 
-    Expectation-maximisation over the counts of vote patterns. An abstention says nothing
-    about either class. The two bounds keep the classes from swapping names; ``SMOOTH`` counts
-    at the start values stand in for an empty or one-sided corpus.
+    shares: list[float]
+    rates: list[list[float]]
+
+
+def classes(pattern: tuple[int, ...], model: Model) -> list[float]:
+    """The posterior probability of each class. An abstention says nothing about any."""
+    logs = [math.log(share) + sum(math.log(r if v < 0 else 1 - r) for v, r in zip(pattern, rates, strict=True) if v) for share, rates in zip(*model, strict=True)]
+    parts = [math.exp(x - max(logs)) for x in logs]
+    return [x / sum(parts) for x in parts]
+
+
+def posterior(pattern: tuple[int, ...], model: Model) -> float:
+    return classes(pattern, model)[0]
+
+
+def _inside(rate: float) -> float:
+    return min(max(rate, EDGE), 1 - EDGE)
+
+
+def _raised(rates: list[float], own: list[int]) -> list[float]:
+    """The rates, those of the class's own family moved up alike in log-odds till their mean is better than chance."""
+    if sum(rates[k] for k in own) >= CHANCE * len(own):
+        return rates
+    moved = lambda k, by: 1 / (1 + math.exp(-(math.log(rates[k] / (1 - rates[k])) + by)))
+    low, high = 0.0, 20.0
+    for _ in range(40):
+        middle = (low + high) / 2
+        low, high = (low, middle) if sum(moved(k, middle) for k in own) >= CHANCE * len(own) else (middle, high)
+    return [_inside(moved(k, high)) if k in own else r for k, r in enumerate(rates)]
+
+
+def fit(counts: dict[tuple[int, ...], int], families: list[list[int]] | None = None) -> Model:
+    """Expectation-maximisation over the counts of vote patterns; ``families``: the rules' places, by kind of bad text.
+
+    Rates are free and start alike for all rules of a class. What keeps the classes' names apart
+    is that a bad class's own rules must beat chance on average. One vote of each kind for each
+    rate and one text for each class are added, so an empty corpus gives a model too.
     """
-    good, rates = START_GOOD, [(START_BAD_TEXT, START_GOOD_TEXT) for _ in RULES]
+    families = families or [[RULES.index(k) for k in family] for family in FAMILIES.values()]
+    n = sum(map(len, families))
+    model = Model([START_GOOD] + [(1 - START_GOOD) / len(families)] * len(families), [[START_OTHER] * n] + [[START_OWN if k in own else START_OTHER for k in range(n)] for own in families])
+    if not counts:
+        return model
     for _ in range(ROUNDS):
-        voted = [[SMOOTH, SMOOTH] for _ in RULES]
-        called = [[SMOOTH * START_BAD_TEXT, SMOOTH * START_GOOD_TEXT] for _ in RULES]
-        total = [SMOOTH * (1 - START_GOOD), SMOOTH * START_GOOD]
-        for pattern, n in counts.items():
-            p = posterior(pattern, good, rates)
-            for y, share in ((0, n * (1 - p)), (1, n * p)):
-                total[y] += share
+        total = [1.0] * len(model.shares)
+        called = [[1.0] * n for _ in total]
+        voted = [[2.0] * n for _ in total]
+        for pattern, times in counts.items():
+            for c, p in enumerate(classes(pattern, model)):
+                total[c] += times * p
                 for k, v in enumerate(pattern):
-                    voted[k][y] += share * (v != 0)
-                    called[k][y] += share * (v < 0)
-        good = min(max(total[1] / sum(total), 0.05), 0.98)
-        rates = [(min(max(c[0] / n[0], LEAST_FOUND), 0.98), max(min(c[1] / n[1], MOST_FALSE), 1e-6)) for c, n in zip(called, voted, strict=True)]
-    return good, rates
-
-
-def weights(rate: tuple[float, float]) -> dict[int, float]:
-    """The log-odds for a good text that a vote adds."""
-    bad, false = rate
-    return {-1: math.log(false / bad), 0: 0.0, 1: math.log((1 - false) / (1 - bad))}
+                    if v:
+                        voted[c][k] += times * p
+                        called[c][k] += times * p * (v < 0)
+        rates = [[_inside(a / b) for a, b in zip(x, y, strict=True)] for x, y in zip(called, voted, strict=True)]
+        model = Model([x / sum(total) for x in total], rates[:1] + [_raised(r, own) for r, own in zip(rates[1:], families, strict=True)])
+    return model
 
 
-def posterior(pattern: tuple[int, ...], good: float, rates: list[tuple[float, float]]) -> float:
-    odds = math.log(good / (1 - good)) + sum(weights(r)[v] for v, r in zip(pattern, rates, strict=True))
-    return 1 / (1 + math.exp(-max(-500.0, min(500.0, odds))))
+def good_probability(model: Model, vote) -> Column:
+    """The posterior of a good text as an expression; ``vote`` gives a rule's column."""
+    odds = []
+    for share, rates in zip(model.shares[1:], model.rates[1:], strict=True):
+        log = F.lit(math.log(share / model.shares[0]))
+        for k, bad, good in zip(RULES, rates, model.rates[0], strict=True):
+            log = log + F.when(vote(k) == -1, math.log(bad / good)).when(vote(k) == 1, math.log((1 - bad) / (1 - good))).otherwise(0.0)
+        odds.append(F.exp(log))
+    return 1 / reduce(lambda a, b: a + b, odds, F.lit(1.0))
 
 
 def judge(docs: DataFrame, keep: list[str], text_col: str = "text", least: float = 0.5) -> DataFrame:
@@ -168,11 +227,6 @@ def judge(docs: DataFrame, keep: list[str], text_col: str = "text", least: float
     """
     rows = written(measured(docs, keep, text_col), "quality")
     names = [f"_votes.{k}" for k in RULES]
-    counts = {tuple(r)[:-1]: r[-1] for r in rows.where(~F.col("base_failed")).groupBy(*names).agg(F.count("*").alias("n")).collect()}  # at most 3^8 patterns
-    good, rates = fit(counts)
-    odds = F.lit(math.log(good / (1 - good)))
-    for k, rate in zip(RULES, rates, strict=True):
-        w, vote = weights(rate), F.col(f"_votes.{k}")
-        odds = odds + F.when(vote == -1, w[-1]).when(vote == 1, w[1]).otherwise(0.0)
-    rows = rows.withColumn("p_good", 1 / (1 + F.exp(-odds)))
+    counts = {tuple(r)[:-1]: r[-1] for r in rows.where(~F.col("base_failed")).groupBy(*names).agg(F.count("*").alias("n")).collect()}  # at most 3^13 patterns
+    rows = rows.withColumn("p_good", good_probability(fit(counts), lambda k: F.col(f"_votes.{k}")))
     return rows.withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= least)).drop("_votes")

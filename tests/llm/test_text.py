@@ -36,7 +36,7 @@ def test_quality_base(spark):
 
 
 def test_quality_learns_from_votes(spark):
-    """Clean texts stay, texts of signs or capitals go, though one rule alone speaks against them."""
+    """Clean texts stay, texts of signs or capitals go, though rules of one kind alone speak against them."""
     rng = random.Random(2)
     clean = [(k, words(rng, 80, 3000)) for k in range(200)]
     signs = [(1000 + k, " ".join(w + "***" for w in words(rng, 80, 3000).split())) for k in range(15)]
@@ -55,13 +55,49 @@ def test_quality_keeps_very_long_clean_texts(spark):
     assert votes == {1000: 1, 1001: -1, 1002: -1}
 
 
+SIGNS = {"symbols": 0.7, "plain": 0.8, "letters": 0.6, "wordless": 0.5}
+CASE = {"capitals": 0.8, "uppers": 0.6, "shouts": 0.7}
+
+
+def drawn(rng, n, chances):
+    """Vote patterns of n texts, each rule calling bad with its chance."""
+    return Counter(tuple(-1 if rng.random() < chances.get(k, 0.002) else 1 for k in quality.RULES) for _ in range(n))
+
+
+def voted(**some):
+    return tuple(some.get(k, 1) for k in quality.RULES)
+
+
 def test_fit_holds_classes_apart():
-    bad, fine = (-1, *(1,) * 7), (1,) * 8
-    good, rates = quality.fit({fine: 1000, bad: 60})
-    assert quality.posterior(fine, good, rates) > 0.9 and quality.posterior(bad, good, rates) < 0.5
-    assert quality.fit({})[0] == pytest.approx(quality.START_GOOD)
-    good, rates = quality.fit({fine: 10})
-    assert quality.posterior(fine, good, rates) > 0.9
+    fine, bad = voted(), voted(symbols=-1, plain=-1, letters=-1)
+    model = quality.fit({fine: 1000, bad: 60})
+    assert quality.posterior(fine, model) > 0.9 and quality.posterior(bad, model) < 0.5
+    assert quality.fit({}).shares[0] == pytest.approx(quality.START_GOOD)
+    assert quality.posterior(fine, quality.fit({fine: 10})) > 0.9
+    assert quality.posterior(fine, quality.fit({fine: 100_000, bad: 1})) > 0.99
+
+
+def test_fit_estimates_rates_and_weighs_by_them():
+    """A rule with a tenth of false alarms vetoes nothing; two weak rules together outvote the others."""
+    rng = random.Random(21)
+    model = quality.fit(drawn(rng, 9000, {"plain": 0.10}) + drawn(rng, 600, SIGNS) + drawn(rng, 200, CASE))
+    good, signs, case = model.rates[:3]
+    rate = dict(zip(quality.RULES, good, strict=True))
+    assert rate["plain"] == pytest.approx(0.10, abs=0.02) and max(v for k, v in rate.items() if k != "plain") < 0.02
+    for rates, own in ((signs, SIGNS), (case, CASE)):
+        assert all(dict(zip(quality.RULES, rates, strict=True))[k] == pytest.approx(r, abs=0.15) for k, r in own.items())
+    assert model.shares[1] == pytest.approx(600 / 9800, abs=0.02) and model.shares[2] == pytest.approx(200 / 9800, abs=0.02)
+    assert quality.posterior(voted(plain=-1), model) > 0.9
+    assert quality.posterior(voted(symbols=-1, letters=-1), model) < 0.1 and quality.posterior(voted(capitals=-1, shouts=-1), model) < 0.1
+
+
+def test_probability_expression_equals_the_fit(spark):
+    rng = random.Random(22)
+    model = quality.fit(drawn(rng, 500, {}) + drawn(rng, 50, {"lines": 0.7, "echoes": 0.8}))
+    patterns = [tuple(rng.choice((-1, 0, 1)) for _ in quality.RULES) for _ in range(50)]
+    rows = spark.createDataFrame([(k, *p) for k, p in enumerate(patterns)], ["k", *quality.RULES])
+    got = {r.k: r.p for r in rows.select("k", quality.good_probability(model, lambda k: rows[k]).alias("p")).collect()}
+    assert all(got[k] == pytest.approx(quality.posterior(p, model)) for k, p in enumerate(patterns))
 
 
 def spans_of(text, rules=secrets.RULES):
