@@ -1,4 +1,4 @@
-"""Typed reads of JSON text."""
+"""Typed reads of JSON: of text, or of a document that was parsed once into a variant."""
 
 from __future__ import annotations
 
@@ -54,6 +54,60 @@ def nested_string(doc: Column, key: str) -> Column:
     return F.coalesce(F.when(what == "string", F.trim(at(doc, key))).when(what == "object", inner), F.lit(""))
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once a row, however often the body's lambdas use it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def inside(doc: Column, dotted: str) -> Column:
+    """What stands at a path of a variant, a variant too; null if absent."""
+    return F.try_variant_get(doc, json_path(dotted), "variant")
+
+
+def type_of(value: Column) -> Column:
+    """string, number, bool, object, array; null if absent or null."""
+    name = F.schema_of_variant(value)
+    return F.when(name.startswith("OBJECT"), "object").when(name.startswith("ARRAY"), "array").when(name == "STRING", "string").when(name == "BOOLEAN", "bool").when(name.isNotNull() & (name != "VOID"), "number")
+
+
+def text_of(value: Column) -> Column:
+    """A string's own characters, anything else as JSON; null if absent or null."""
+    return F.try_variant_get(value, "$", "string")
+
+
+def items_of(value: Column) -> Column:
+    """Elements of an array, null for anything else."""
+    return F.try_variant_get(value, "$", "array<variant>")
+
+
+def is_object(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "map<string,variant>").isNotNull()
+
+
+def string_of(value: Column) -> Column:
+    """A number as its truncated integer, a truth value as true or false, a missing one as empty."""
+    text = text_of(value)
+    return F.coalesce(F.when(type_of(value) == "number", text.try_cast("double").cast("long").cast("string")).otherwise(text), F.lit(""))
+
+
+def number_of(value: Column) -> Column:
+    """A number, or a string that reads as one; else 0."""
+    return F.coalesce(text_of(value).try_cast("double"), F.lit(0.0))
+
+
+def rounded_of(value: Column) -> Column:
+    """A trimmed string, or a number rounded half to even; empty for anything else."""
+    text, what = text_of(value), type_of(value)
+    return F.coalesce(F.when(what == "string", F.trim(text)).when(what == "number", F.rint(text.try_cast("double")).cast("long").cast("string")), F.lit(""))
+
+
+def nested_of(value: Column) -> Column:
+    """A trimmed string, or an object's name, text or city."""
+    inner = F.coalesce(*(F.nullif(rounded_of(inside(value, k)), F.lit("")) for k in ("name", "text", "city")), F.lit(""))
+    what = type_of(value)
+    return F.coalesce(F.when(what == "string", F.trim(text_of(value))).when(what == "object", inner), F.lit(""))
+
+
 def is_json(text: Column) -> Column:
     return F.try_parse_json(text).isNotNull()
 

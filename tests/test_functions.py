@@ -176,3 +176,21 @@ def test_parse_heuristic(spark):
     got = parse.parse_heuristic(spark.createDataFrame(rows, "k int, raw_json string"), ["k"]).collect()
     assert sorted(r.k for r in got) == [0, 1, 2, 4, 7]
     assert {(r.external_job_id, r.title, r.location, r.salary_min, r.salary_max, str(r.posted_at)) for r in got} == {("12", "T", "L", 1000.0, 2000.0, "2024-01-02 00:00:00")}
+
+
+def test_jobs_are_found_at_any_depth(spark):
+    """The first alias that is present with an array or an object decides, however deep it leads."""
+    jobs = '[{"id": 1}, 5, {"id": "b"}]'
+    nested = lambda n: '{"a": 1, "data": ' * n + f'{{"postings": {jobs}}}' + "}" * n
+    rows = [(n, nested(n)) for n in (0, 1, 3, 5, 40)] + [(100, jobs), (101, '{"jobs": "none", "results": []}'), (102, '{"jobs": {"x": 1}, "results": [{"id": 9}]}'), (103, '{"jobs": 7, "items": [{"id": 9}]}'), (104, "{"), (105, '{"other": [{"id": 1}]}'), (106, None), (107, '{"data" : \n {"jobs":[{"id":3}]}}')]
+    got = parse.parse_heuristic(spark.createDataFrame(rows, "k int, raw_json string"), ["k"]).collect()
+    assert sorted((r.k, r.external_job_id) for r in got) == sorted([(n, i) for n in (0, 1, 3, 5, 40, 100) for i in ("1", "b")] + [(103, "9"), (107, "3")])
+
+
+def test_schemas_can_be_added_and_lookups_take_the_last_of_an_id(spark):
+    extra = {"own": {"jobs_path": "a.b", "external_id": "no", "title": "t", "lookups": (("place", "places", {"city": "c", "department": "d"}),)}}
+    body = '{"a": {"b": [{"no": 1.9, "t": "x", "place": 7}, {"no": true, "t": "y", "place": "8"}, {"no": "z", "t": 5, "place": 0}, {"no": "q", "t": "w", "place": 99}]}, "places": [{"id": 7, "c": "old"}, {"id": 8, "c": 1}, {"id": 7, "c": "new", "d": "dep"}, {"id": "9"}, 3]}'
+    rows = spark.createDataFrame([("own", body), ("greenhouse", '{"jobs": [{"id": 1, "title": "g", "place": 7}]}'), ("none", "[]"), ("own", "[1"), (None, body)], "platform string, body string")
+    got = parse.parse_known(rows, [], extra).collect()
+    assert sorted((r.platform, r.position, r.external_id, r.title, r.city, r.department) for r in got) == [("greenhouse", 0, "1", "g", "", ""), ("own", 0, "1", "x", "new", "dep"), ("own", 1, "true", "y", "", ""), ("own", 2, "z", "5", "", ""), ("own", 3, "q", "w", "", "")]
+    assert parse.parse_known(rows, [], extra, ["greenhouse"]).count() == 1
