@@ -4,9 +4,9 @@ Vectors become blocks, one binary row each, of the narrowest integers that hold
 A block of candidates is a set of postings, a list of places and weights for each component,
 or all weights where few are zero; each component of a query that isn't zero adds its weighted
 postings to a dense array of scores, and a partition selection keeps the k best. Queries are
-dealt to numbered blocks by a hash, blocks of candidates go once to each number, and the two
-meet by an equi-join on it, so what moves is whole blocks, and no single row is paired with
-another. Partial winners merge per query.
+dealt to numbered blocks by a hash and blocks of candidates to numbered groups; the two meet by
+an equi-join on both numbers, so what moves is whole blocks, no single row is paired with
+another, and no task has all candidates of a block of queries. Partial winners merge per query.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import map_arrow
-from .shared import written
+from .shared import partitions, written
 
 RESULT = "query long, query_id long, vec_id long, score long"
 BLOCKS = "q_block int, n int, width int, kind string, ids binary, weights binary"
@@ -102,17 +102,21 @@ def exact_top_k(rows: DataFrame, k: int = 5, factor: float = 256.0, every: int =
     counts as zero where it ends. Repeated candidate rows each count; a repeated query id is
     answered once a distinct vector, and rows of its own id are no candidates for it. Other columns are not read.
     """
+    spark = rows.sparkSession
     vectors = written(quantised(rows, id_col, vector_col, factor), "vectors")
     asked = vectors.where(F.col("vec_id") % every == 0).distinct()
     blocks = -(-asked.count() // query_rows)
     if not blocks:
-        return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     numbered = asked.withColumn("q_block", F.pmod(F.xxhash64("vec_id", "weights"), F.lit(blocks)).cast("int"))
     asked = blocked(numbered.repartition("q_block").sortWithinPartitions("q_block"))
     asked = asked.select("q_block", *(F.col(c).alias(f"q_{c}") for c in ("n", "width", "kind", "ids", "weights")))
-    held = blocked(vectors.withColumn("q_block", F.lit(None).cast("int")), candidate_rows)
-    dealt = held.withColumn("q_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    pairs = dealt.join(asked, "q_block").select("q_block", "q_n", "q_width", "q_kind", "q_ids", "q_weights", "n", "width", "kind", "ids", "weights")
+    # A block of queries goes to each group of candidates, so that no task has all candidates of one.
+    groups = -(-vectors.count() // candidate_rows)
+    held = blocked(vectors.withColumn("q_block", F.lit(None).cast("int")), candidate_rows).withColumn("part", F.pmod(F.xxhash64("ids"), F.lit(groups)).cast("int"))
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    dealt = [x.repartition(partitions(spark), "q_block", "part") for x in (held.withColumn("q_block", each(blocks)), asked.withColumn("part", each(groups)))]
+    pairs = dealt[0].join(dealt[1].hint("merge"), ["q_block", "part"]).select("q_block", "q_n", "q_width", "q_kind", "q_ids", "q_weights", "n", "width", "kind", "ids", "weights")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
