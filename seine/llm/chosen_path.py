@@ -33,7 +33,9 @@ from .shared import drop, task, text_digest, written
 TOKENS = 64
 #: Sets that a node may have to be compared at once, and the size of a block of one that stays larger to the last depth.
 SMALL = 256
-BLOCK = 1024
+BLOCK = 512
+#: Columns of the 0/1 matrices that are multiplied at once.
+COLUMNS = 2048
 DEPTH = 4
 SETS = "uid long, doc_id long, fp binary, n int, sig binary, nodes array<long>, td binary"
 #: Sets go on if their min-hash tokens agree this many standard deviations below the threshold or better.
@@ -277,9 +279,9 @@ def common_counts(sets: list[np.ndarray]) -> np.ndarray:
     use = shared[what]
     who, what = who[use], number[what[use]]
     out = np.zeros((len(sets), len(sets)), "f4")
-    for lo in range(0, int(shared.sum()), 8192):
-        mine = (what >= lo) & (what < lo + 8192)
-        part = np.zeros((len(sets), min(8192, int(shared.sum()) - lo)), "f4")
+    for lo in range(0, int(shared.sum()), COLUMNS):
+        mine = (what >= lo) & (what < lo + COLUMNS)
+        part = np.zeros((len(sets), min(COLUMNS, int(shared.sum()) - lo)), "f4")
         part[who[mine], what[mine] - lo] = 1
         out += part @ part.T
     return out
