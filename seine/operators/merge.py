@@ -2,14 +2,13 @@
 
 Every mutation is a pure function of the target, the source and the moment ``as_of``; the
 caller writes the result as the next version. A source may repeat a key: its first row by
-``order`` counts.
+``order``, then by all of its columns, counts, so a recomputed task chooses alike.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions import rules, text, times, urls
 
@@ -21,8 +20,11 @@ def merge(target: DataFrame, source: DataFrame, keys: list[str], matched: dict[s
     of its own is inserted with ``inserted``, the source's columns of the same name and nulls.
     Keys are taken to be unique in the target and not null.
     """
-    once = Window.partitionBy(*keys).orderBy(*(order or keys))
-    source = source.withColumn("_n", F.row_number().over(once)).where("_n = 1").drop("_n")
+    own = [c for c in source.columns if c not in keys]
+    simple = {f.name for f in source.schema.fields if f.dataType.typeName() not in ("map", "variant")}
+    rank = F.struct(*(order or []), *(F.col(c) if c in simple else F.to_json(c) for c in source.columns))
+    best = source.groupBy(*keys).agg(F.min_by(F.struct(*own) if own else F.lit(1), rank).alias("_row"))  # combines before the shuffle
+    source = best.select(*keys, *(F.col("_row").getField(c).alias(c) for c in own))
     both = target.withColumn("_t", F.lit(True)).alias("t").join(source.withColumn("_s", F.lit(True)).alias("s"), [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys], "full_outer" if insert else "left_outer")
     in_target, in_both = F.col("t._t").isNotNull(), F.col("t._t").isNotNull() & F.col("s._s").isNotNull()
     change = in_both if when_matched is None else in_both & F.coalesce(when_matched, F.lit(False))
