@@ -34,6 +34,11 @@ def counted(rows: DataFrame, value: Column, name: str, top: int | None = None, l
     return out.limit(top) if top else out
 
 
+def counts_by(rows: DataFrame, key: str) -> DataFrame:
+    """Rows of each value of a column."""
+    return rows.groupBy(key).agg(F.count("*").alias("n"))
+
+
 def path_segments(rows: DataFrame, url_col: str, top: int | None = 20, least: int = 1) -> DataFrame:
     return counted(rows, urls.segments(urls.path(F.col(url_col))), "segment", top, least)
 
@@ -148,6 +153,39 @@ def held_alerts(alerts: DataFrame, minutes: int) -> DataFrame:
     return out.where(F.col("minutes") >= minutes).drop("_i")
 
 
+#: Minutes that a rule must hold before it alerts.
+HOLDS = {"success_rate": 5, "replay_lag": 5, "node_down": 2, "replay_errors": 5, "stalled": 10, "cost": 30}
+
+
+def alert_minutes(ticks: DataFrame) -> DataFrame:
+    """``alert``, ``start`` and ``low`` (whether the rule is broken) for each rule and minute from the first tick to the last.
+
+    Ticks have ``at``, the flags success, failure, replay_error and processed, and the gauges lag
+    (seconds), cost (dollars a URL) and up; a gauge is the most (up: the least) of a minute. Ticks
+    fold into minutes first; a year of those is half a million rows, which one ordered window holds.
+    """
+    minute = F.date_trunc("minute", F.col("at"))
+    counts = ticks.groupBy(minute.alias("m")).agg(*(F.count_if(c).alias(c) for c in ("success", "failure", "replay_error", "processed")), F.max("lag").alias("lag"), F.max("cost").alias("cost"), F.min("up").alias("up"))
+    ends = counts.agg(F.min("m").alias("lo"), F.max("m").alias("hi")).where("lo is not null")
+    every = ends.select(F.explode(F.sequence("lo", "hi", F.expr("interval 1 minute"))).alias("m"))
+    over = lambda c, n: F.coalesce(F.sum(c).over(Window.orderBy("m").rowsBetween(1 - n, 0)), F.lit(0))
+    rows = every.join(counts, "m", "left").select("m", over("success", 5).alias("s"), over("failure", 5).alias("f"), over("replay_error", 5).alias("e"), over("processed", 15).alias("p"), "lag", "cost", "up")
+    tests = {
+        "success_rate": F.col("s") / F.nullif(F.col("s") + F.col("f"), F.lit(0)) < 0.8, "replay_lag": F.col("lag") > 3600, "node_down": F.col("up") == 0,
+        "replay_errors": F.col("e") / 300.0 > 10, "stalled": F.col("p") == 0, "cost": F.col("cost") > 0.001,
+    }
+    listed = F.array(*(F.struct(F.lit(name).alias("alert"), F.coalesce(test, F.lit(False)).alias("low")) for name, test in tests.items()))
+    return rows.select(F.col("m").alias("start"), F.explode(listed).alias("x")).select("x.alert", "start", "x.low")
+
+
+def held_rules(minutes: DataFrame, holds: dict[str, int] = HOLDS) -> DataFrame:
+    """Stretches of broken minutes of each alert that last as long as its rule asks: alert, first, last, minutes."""
+    number = F.floor(F.unix_seconds(F.col("start").cast("timestamp")) / 60) - F.row_number().over(Window.partitionBy("alert").orderBy("start"))
+    out = minutes.where("low").withColumn("_i", number).groupBy("alert", "_i").agg(F.min("start").alias("first"), F.max("start").alias("last"), F.count("*").alias("minutes"))
+    hold = F.create_map(*(F.lit(x) for kv in holds.items() for x in kv))
+    return out.where(F.col("minutes") >= F.coalesce(F.try_element_at(hold, F.col("alert")), F.lit(1))).drop("_i")
+
+
 def orphans(child: DataFrame, parent: DataFrame, keys: list[str]) -> DataFrame:
     """Rows without a parent: none, where references hold."""
     return child.join(parent, keys, "left_anti")

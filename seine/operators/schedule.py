@@ -39,6 +39,25 @@ def frontier(scored: DataFrame, capacity: int, score: str = "score", order: str
     return scored.orderBy(F.desc(score), order).limit(capacity)
 
 
+def with_company(queue: DataFrame, companies: DataFrame, key: str = "url") -> DataFrame:
+    """Queued URLs with what is known of their company; of several companies of one URL the last by id counts."""
+    own = [c for c in companies.columns if c != key]
+    last = companies.groupBy(key).agg(F.max_by(F.struct(*own), F.struct(*own)).alias("_c"))
+    return queue.join(last, key).select(*queue.columns, *(F.col(f"_c.{c}").alias(c) for c in own))
+
+
+def label_queue(captures: DataFrame, limit: int | None = None) -> DataFrame:
+    """Unlabelled captures by domain and time."""
+    rows = captures.where("label is null").orderBy("domain", "captured_at", "id")
+    return rows.limit(limit) if limit else rows
+
+
+def near_miss_queue(near: DataFrame, limit: int | None = None) -> DataFrame:
+    """Unlabelled near misses, the likeliest first."""
+    rows = near.where("label is null").orderBy(F.desc("confidence"), "id")
+    return rows.limit(limit) if limit else rows
+
+
 def rolling_mean(rows: DataFrame, key: str, order: str, value: str, last: int = 1000) -> DataFrame:
     """Mean of the last rows of each key in order. A single global sequence has one key."""
     return rows.withColumn("rolling_mean", F.avg(value).over(Window.partitionBy(key).orderBy(order).rowsBetween(-(last - 1), 0)))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules, scoring, text, times, urls
 from ..operators import capturing, features, merge, parse, probing, reports, routing, schedule, urllists
-from . import tables as T
+from . import tables as T  # noqa: I001
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -83,9 +83,9 @@ def path_segment_topk(spark, sf):
     return reports.path_segments(T.pages(spark, sf), "url")
 
 
-@query(f"""WITH s AS (SELECT unnest({SEGMENTS.format(PATH.format("url"))}) segment FROM pages) SELECT segment, count(*) n FROM s WHERE regexp_matches(segment, '^[A-Za-z_-]+$') AND strlen(segment) > 2 GROUP BY 1 HAVING count(*) >= 2""")
+@query(f"""WITH {T.CAPTURES}, s AS (SELECT unnest({SEGMENTS.format(PATH.format("url"))}) segment FROM captures) SELECT segment, count(*) n FROM s WHERE regexp_matches(segment, '^[A-Za-z_-]+$') AND strlen(segment) > 2 GROUP BY 1 HAVING count(*) >= 2""")
 def word_segment_counts(spark, sf):
-    return reports.word_segments(T.pages(spark, sf), "url")
+    return reports.word_segments(T.captures(spark, sf), "url")
 
 
 @query(f"""WITH s AS (SELECT unnest(list_distinct(list_transform(string_split({QUERY.format("url")}, '&'), lambda x: split_part(x, '=', 1)))) param FROM pages) SELECT param, count(*) n FROM s WHERE param <> '' GROUP BY 1 ORDER BY n DESC, param LIMIT 20""")
@@ -201,10 +201,10 @@ def url_path_confidence(spark, sf):
     return T.captures(spark, sf).select("id", F.round(scoring.url_confidence(F.col("url"), method, kind, F.col("response_size")), 6).alias("score"))
 
 
-@query(f"""WITH {T.CAPTURES}, x AS (SELECT id, CASE id % 4 WHEN 0 THEN 1 ELSE label END label FROM captures) SELECT id, CAST(label AS INT) label FROM x""")
+@query(f"""WITH {T.CAPTURES}, x AS (SELECT id, CASE WHEN value > 75 THEN 1 ELSE label END label FROM captures) SELECT id, CAST(label AS INT) label FROM x""")
 def label_merge(spark, sf):
     rows = T.captures(spark, sf)
-    labels = rows.where("id % 4 = 0").select("id", F.lit(None).cast("string").alias("domain"), F.lit(1).alias("label"))
+    labels = rows.where("value > 75").select("id", F.lit(None).cast("string").alias("domain"), F.lit(1).alias("label"))
     return merge.apply_labels(rows, labels).select("id", "label")
 
 
@@ -219,15 +219,15 @@ def url_static_score(spark, sf):
     return T.read(spark, sf, "pages").select("page_id", F.round(scoring.static_score(F.col("url")), 6).alias("score"))
 
 
-RANKED_SQL = f"""h AS (SELECT page_id, url, {HOST.format("url")} h, {BARE.format("url")} b, lower({PATH.format("url")}) p FROM pages), d AS (SELECT DISTINCT b FROM h WHERE page_id % 7 = 0), l AS (SELECT DISTINCT b FROM h WHERE page_id % 11 = 0),
+RANKED_SQL = f"""h AS (SELECT page_id, url, {HOST.format("url")} h, {BARE.format("url")} b, lower({PATH.format("url")}) p FROM pages), d AS (SELECT DISTINCT b FROM h WHERE contains(url, '/en/')), l AS (SELECT DISTINCT b FROM h WHERE contains(url, '/fr/')),
 ranked AS (SELECT page_id, least(100, (CASE WHEN {ends("h", tuple("." + x for x in rules.RANKED_GLOBAL))} THEN 40 ELSE 0 END) + (CASE WHEN starts_with(h, 'careers.') OR starts_with(h, 'jobs.') THEN 20 ELSE 0 END) + (CASE WHEN contains(p, '/careers') OR contains(p, '/jobs') THEN 15 ELSE 0 END)
  + (CASE WHEN {ends("h", tuple("." + x for x in rules.RANKED_REGIONAL))} THEN 15 ELSE 0 END) + (CASE WHEN b IN (FROM d) THEN 25 ELSE 0 END) + (CASE WHEN b IN (FROM l) THEN 20 ELSE 0 END)) score FROM h WHERE h <> '')"""
 
 
 def _ranked(spark, sf):
     pages = T.read(spark, sf, "pages").select("page_id", "url")
-    some = lambda n: pages.where(f"page_id % {n} = 0").select(urls.bare_host(F.col("url")).alias("domain"))
-    return urllists.ranked_urls(pages, some(7), some(11))
+    some = lambda part: pages.where(F.col("url").contains(part)).select(urls.bare_host(F.col("url")).alias("domain"))
+    return urllists.ranked_urls(pages, some("/en/"), some("/fr/"))
 
 
 @query(f"WITH {RANKED_SQL} SELECT page_id, CAST(score AS INT) score FROM ranked")
@@ -392,11 +392,11 @@ def route_tiers(spark, sf):
     return routing.route(messages, T.records(spark, sf)).select("domain", "route")
 
 
-FOUND_SQL = "found AS (SELECT domain, 'https://new.example/' || id api_url, 'tier2' tier_used, 0.75 confidence FROM companies WHERE id % 2 = 0)"
+FOUND_SQL = "found AS (SELECT domain, 'https://new.example/' || id api_url, 'tier2' tier_used, 0.75 confidence FROM companies WHERE created_at > 5000)"
 
 
 def _found(spark, sf):
-    return T.companies(spark, sf).where("id % 2 = 0").select("domain", F.concat(F.lit("https://new.example/"), "id").alias("api_url"), F.lit("tier2").alias("tier_used"), F.lit(0.75).alias("confidence"))
+    return T.companies(spark, sf).where("created_at > 5000").select("domain", F.concat(F.lit("https://new.example/"), "id").alias("api_url"), F.lit("tier2").alias("tier_used"), F.lit(0.75).alias("confidence"))
 
 
 @query(f"""WITH {T.RECORDS}, {FOUND_SQL} SELECT coalesce(r.domain, f.domain) domain, CASE WHEN f.domain IS NOT NULL THEN f.api_url ELSE r.api_url END api_url, CASE WHEN f.domain IS NOT NULL THEN 'discovered' ELSE r.status END status,
@@ -405,16 +405,16 @@ def merge_discovered(spark, sf):
     return merge.mark_discovered(T.records(spark, sf), _found(spark, sf), as_of()).select("domain", "api_url", "status", "confidence", "next_replay", "consecutive_failures")
 
 
-@query(f"""WITH {T.RECORDS}, f AS (SELECT domain FROM companies WHERE id % 2 = 1) SELECT coalesce(r.domain, f.domain) domain, CASE WHEN r.domain IS NULL THEN 'pending' WHEN f.domain IS NOT NULL AND r.consecutive_failures + 1 >= 3 THEN 'failed' ELSE r.status END status,
+@query(f"""WITH {T.RECORDS}, f AS (SELECT domain FROM companies WHERE created_at <= 5000) SELECT coalesce(r.domain, f.domain) domain, CASE WHEN r.domain IS NULL THEN 'pending' WHEN f.domain IS NOT NULL AND r.consecutive_failures + 1 >= 3 THEN 'failed' ELSE r.status END status,
 CASE WHEN r.domain IS NULL THEN 1 WHEN f.domain IS NOT NULL THEN r.consecutive_failures + 1 ELSE r.consecutive_failures END consecutive_failures, CASE WHEN f.domain IS NOT NULL THEN 'timeout' ELSE r.last_error END last_error FROM records r FULL JOIN f ON r.domain = f.domain""")
 def merge_failed(spark, sf):
-    failed = T.companies(spark, sf).where("id % 2 = 1").select("domain", F.lit("timeout").alias("last_error"))
+    failed = T.companies(spark, sf).where("created_at <= 5000").select("domain", F.lit("timeout").alias("last_error"))
     return merge.mark_failed(T.records(spark, sf), failed, as_of()).select("domain", "status", "consecutive_failures", "last_error")
 
 
-@query(f"WITH {T.RECORDS} SELECT domain, status FROM records UNION ALL SELECT domain, 'pending' FROM companies WHERE id % 5 = 0 AND domain NOT IN (SELECT domain FROM records)")
+@query(f"WITH {T.RECORDS} SELECT domain, status FROM records UNION ALL SELECT domain, 'pending' FROM companies WHERE created_at > 8000 AND domain NOT IN (SELECT domain FROM records)")
 def insert_ignore(spark, sf):
-    return merge.create_pending(T.records(spark, sf), T.companies(spark, sf).where("id % 5 = 0").select("domain"), as_of()).select("domain", "status")
+    return merge.create_pending(T.records(spark, sf), T.companies(spark, sf).where("created_at > 8000").select("domain"), as_of()).select("domain", "status")
 
 
 @query(f"""WITH {T.RECORDS}, {FOUND_SQL} SELECT coalesce(r.domain, f.domain) domain, CASE WHEN r.domain IS NULL OR (f.domain IS NOT NULL AND r.status <> 'discovered') THEN f.api_url ELSE r.api_url END api_url,
@@ -441,13 +441,14 @@ def backfill_sources(spark, sf):
     return merge.backfill_sources(rows, empty, as_of()).select("endpoint_url", "public_ref", "discovery_method", "ats_platform", "status")
 
 
-@query(f"""WITH {T.ITEMS}, one AS (SELECT source_id, external_id, min(title) title FROM items GROUP BY 1, 2), old AS (SELECT source_id, external_id, 'old' title, TIMESTAMP '1990-01-01 00:00:00' last_seen_at FROM one WHERE source_id % 3 = 0), new AS (SELECT source_id, external_id, title FROM one WHERE source_id % 2 = 0)
+@query(f"""WITH {T.ITEMS}, one AS (SELECT source_id, external_id, min(title) title, min(l_shipdate) shipped FROM items GROUP BY 1, 2), old AS (SELECT source_id, external_id, 'old' title, TIMESTAMP '1990-01-01 00:00:00' last_seen_at FROM one WHERE shipped < TIMESTAMP '1999-01-01 00:00:00'), new AS (SELECT source_id, external_id, title FROM one WHERE shipped >= TIMESTAMP '1997-01-01 00:00:00')
 SELECT coalesce(o.source_id, n.source_id) source_id, coalesce(o.external_id, n.external_id) external_id, CASE WHEN n.external_id IS NOT NULL THEN n.title ELSE o.title END title, CASE WHEN n.external_id IS NOT NULL THEN {AS_OF_SQL} ELSE o.last_seen_at END last_seen_at
 FROM old o FULL JOIN new n ON o.source_id = n.source_id AND o.external_id = n.external_id""")
 def merge_jobs(spark, sf):
-    items = T.read(spark, sf, "lineitem").join(T.read(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_name").alias("title")), "l_partkey").select(F.col("l_orderkey").alias("source_id"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string").alias("external_id"), "title").groupBy("source_id", "external_id").agg(F.min("title").alias("title"))
-    old = items.where("source_id % 3 = 0").select("source_id", "external_id", F.lit("old").alias("title"), F.lit("1990-01-01 00:00:00").cast("timestamp_ntz").alias("last_seen_at"))
-    return merge.upsert_jobs(old, items.where("source_id % 2 = 0"), as_of())
+    items = T.read(spark, sf, "lineitem").join(T.read(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_name").alias("title")), "l_partkey").select(F.col("l_orderkey").alias("source_id"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string").alias("external_id"), "title", "l_shipdate").groupBy("source_id", "external_id").agg(F.min("title").alias("title"), F.min("l_shipdate").alias("shipped"))
+    at = lambda year: F.lit(f"{year}-01-01 00:00:00").cast("timestamp_ntz")
+    old = items.where(F.col("shipped") < at(1999)).select("source_id", "external_id", F.lit("old").alias("title"), F.lit("1990-01-01 00:00:00").cast("timestamp_ntz").alias("last_seen_at"))
+    return merge.upsert_jobs(old, items.where(F.col("shipped") >= at(1997)).drop("shipped"), as_of())
 
 
 # Fetch logs.
@@ -480,7 +481,10 @@ def cooldown_gap(spark, sf):
     return schedule.gaps(T.read(spark, sf, "events"), "user_id", "ts", "event_id").select("event_id", "gap")
 
 
-@query()
+@query("""WITH RECURSIVE firsts AS (SELECT user_id, event_id, ts FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1),
+a(user_id, event_id, ts) AS (SELECT * FROM firsts UNION ALL SELECT user_id, event_id, ts FROM (
+  SELECT e.user_id, e.event_id, e.ts, row_number() OVER (PARTITION BY e.user_id ORDER BY e.ts, e.event_id) n FROM a JOIN events e ON e.user_id = a.user_id AND e.ts >= a.ts + INTERVAL 4 HOUR) WHERE n = 1)
+SELECT e.event_id, e.user_id, e.ts, a.event_id IS NOT NULL allowed FROM events e LEFT JOIN a ON e.event_id = a.event_id""")
 def cooldown_allowed(spark, sf):
     """Which requests a four-hour cooldown lets through depends on the ones that it did."""
     return schedule.allowed_requests(T.read(spark, sf, "events").select("event_id", "user_id", "ts"), "user_id", "ts", "event_id", 4 * 3600)
@@ -565,3 +569,6 @@ def tumbling_counts(spark, sf):
 SELECT user_id, min(ts) AS start, count(*) n FROM s GROUP BY user_id, k""")
 def session_counts(spark, sf):
     return T.read(spark, sf, "events").groupBy(F.session_window("ts", "30 minutes"), "user_id").agg(F.count("*").alias("n")).select("user_id", F.col("session_window.start").alias("start"), "n")
+
+
+from . import inventory  # noqa: E402, F401  registers more

@@ -2,12 +2,25 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 EPOCH = "2024-01-01 00:00:00"
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path below the folder in ``spark.checkpoint.dir``; without it a temporary folder serves, in local mode alone."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="seine-")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -41,8 +54,8 @@ COMPANIES = """companies AS (
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each customer's last order as a discovery record; two thirds of the customers have one."""
-    o = read(spark, sf_dir, "orders").where("o_custkey % 3 <> 0").groupBy("o_custkey").agg(F.max_by(F.struct("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate"), F.struct("o_orderdate", "o_orderkey")).alias("o"))
+    """Each customer's last large order as a discovery record; a third of the customers have none."""
+    o = read(spark, sf_dir, "orders").where("o_totalprice > 450000").groupBy("o_custkey").agg(F.max_by(F.struct("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate"), F.struct("o_orderdate", "o_orderkey")).alias("o"))
     c = companies(spark, sf_dir).select(F.col("id").alias("o_custkey"), "domain")
     status = F.when(F.col("o.o_orderstatus") == "F", "discovered").when(F.col("o.o_orderstatus") == "O", "pending").otherwise("failed")
     part = (F.col("o.o_orderkey") % 5).cast("string")
@@ -57,7 +70,7 @@ RECORDS = (
     + """,
 latest AS (
   SELECT o_custkey, o_orderkey, o_orderstatus, o_totalprice, o_orderdate, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS n
-  FROM orders WHERE o_custkey % 3 <> 0),
+  FROM orders WHERE o_totalprice > 450000),
 records AS (
   SELECT domain, CASE WHEN o_orderkey % 4 > 0 THEN 'https://api' || (o_orderkey % 5) || CASE WHEN o_orderkey % 7 = 0 THEN '.cookielaw.org/jobs' ELSE '.example.com/jobs' END END AS api_url,
     'tier' || (o_orderkey % 3) AS tier_used, CASE o_orderstatus WHEN 'F' THEN 'discovered' WHEN 'O' THEN 'pending' ELSE 'failed' END AS status,

@@ -13,8 +13,9 @@ def append_json(rows: DataFrame, path: str) -> None:
         rows.write.mode("append").json(path)
 
 
-def stream_json(rows: DataFrame, path: str, checkpoint: str, every: str = "5 seconds") -> StreamingQuery:
-    return rows.writeStream.format("json").option("path", path).option("checkpointLocation", checkpoint).trigger(processingTime=every).start()
+def stream_json(rows: DataFrame, path: str, checkpoint: str, every: str | None = "5 seconds") -> StreamingQuery:
+    """Appends what has come every so often, or, without an interval, all there is and then ends."""
+    return rows.writeStream.format("json").option("path", path).option("checkpointLocation", checkpoint).trigger(**({"processingTime": every} if every else {"availableNow": True})).start()
 
 
 def json_array(rows: DataFrame, path: str, order: list) -> None:
@@ -70,6 +71,11 @@ def latest(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/v{versions(spark, path)[-1]:08d}")
 
 
+def pointers(rows: DataFrame, key: str, location: str, content: str) -> DataFrame:
+    """What an archive's table holds of each object: its key, where it lies, its size and digest."""
+    return rows.select(key, F.col(location).alias("location"), F.octet_length(content).cast("long").alias("size"), F.sha2(content, 256).alias("digest"))
+
+
 def observed(rows: DataFrame, name: str, **metrics) -> DataFrame:
     """Rows as they are, with metrics gathered as they pass (read by a query listener)."""
     return rows.observe(name, *(c.alias(k) for k, c in metrics.items()))
