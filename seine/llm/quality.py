@@ -38,8 +38,8 @@ START_OTHER = 0.05
 CHANCE = 0.5
 #: Rates are free between these; one vote of each kind is added to each, one text to each class.
 EDGE = 1e-4
-#: A word of plain text, with what may stand around it.
-PLAIN = r"""^["'(\[]?[\p{L}\p{M}\p{N}'\u2019-]+[.,;:!?"')\]]*$"""
+#: A word of plain text, which starts with a letter, with what may stand around it.
+PLAIN = r"""^["'(\[]?\p{L}[\p{L}\p{M}\p{N}'\u2019-]*[.,;:!?"')\]]*$"""
 #: A run of Latin signs that is longer than words are.
 OVERLONG = r"^[\x21-\x7E\u00C0-\u024F]{21,}$"
 
@@ -93,9 +93,8 @@ def measures(text: Column) -> dict[str, Column]:
         F.size(F.filter(words, lambda w: w.endswith("!"))).cast("long").alias("n_shout_words"),
         block_distinct_words(words).alias("n_distinct_words"),
         F.size(F.filter(words, lambda w, k: w == F.get(words, k - 1))).cast("long").alias("n_echo_words"),
-        F.size(F.filter(words, lambda w: w.rlike(PLAIN))).cast("long").alias("n_plain_words"),
-        F.size(F.filter(words, lambda w: w.rlike(r"\p{L}"))).cast("long").alias("n_letter_words"),
-        F.size(F.filter(words, lambda w: (F.length(w) == 1) | w.rlike(OVERLONG))).cast("long").alias("n_odd_words"),
+        let(F.filter(words, lambda w: ~w.rlike(PLAIN)), lambda other: F.struct(F.size(other).cast("long").alias("n"), F.size(F.filter(other, lambda w: ~w.rlike(r"\p{L}"))).cast("long").alias("n_wordless"))).alias("other"),
+        F.size(F.filter(words, lambda w: (F.length(w) == 1) | ((F.length(w) > 20) & w.rlike(OVERLONG)))).cast("long").alias("n_odd_words"),
     )
     return {
         "_words": let(words_of(text), per_words),
@@ -118,9 +117,9 @@ def votes() -> dict[str, Column]:
     signs = F.nullif(F.col("word_chars"), F.lit(0)).cast("double")
     return {
         "symbols": vote(F.col("n_symbols") / n, 0.05, 0.25),
-        "plain": vote(1 - F.col("n_plain_words") / n, 0.20, 0.50),
+        "plain": vote(F.col("other.n") / n, 0.20, 0.50),
         "letters": vote(1 - F.col("n_letters") / signs, 0.15, 0.25),
-        "wordless": vote(1 - F.col("n_letter_words") / n, 0.05, 0.20),
+        "wordless": vote(F.col("other.n_wordless") / n, 0.05, 0.20),
         "capitals": vote(F.col("n_capital_words") / n, 0.10, 0.30),
         "uppers": vote(F.col("n_upper_letters") / F.nullif(F.col("n_letters"), F.lit(0)).cast("double"), 0.15, 0.40),
         "shouts": vote(F.col("n_shout_words") / n, 0.05, 0.25),
