@@ -18,6 +18,8 @@ from .shared import let
 ROUNDS = 8
 #: Days of the Gregorian cycle from 1800-01-01 to 2199-12-31 are 189 x 773, so a date is two exact digits.
 EPOCH, HIGH, LOW = "1800-01-01", 189, 773
+#: Of these, 9 x 9833 are the 13th of a month or later, which is what a date with the day first must be to be told from one with the month first.
+LATE_HIGH, LATE_LOW, LATE_DAYS, MONTHS = 9, 9833, 88497, 4800
 #: Signs of an IBAN by country, by which its printed form in groups of four has an end.
 IBAN_SIGNS = {
     15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH CR HR LI LV", 22: "BG BH DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
@@ -30,6 +32,7 @@ NATIONAL = r"(?<![0-9A-Za-z+])(?<![0-9][.-])(?:1[ .-])?(?:\([2-9][0-9]{2}\)[ .-]
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
     "ip": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9])(?!\.[0-9])",
+    "ip6": r"(?<![0-9A-Za-z:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![0-9A-Za-z:])(?!\.[0-9])",
     "phone": r"(?<![0-9+])\+[0-9]{1,3}[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])|" + NATIONAL,
     "date": r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9/-])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
@@ -69,15 +72,36 @@ def mod97(s: Column) -> Column:
     return F.aggregate(_chars(s), F.lit(0), lambda a, c: F.when(c >= "A", (a * 100 + F.ascii(c) - 55) % 97).otherwise((a * 10 + F.ascii(c) - 48) % 97))
 
 
+def _day_first(m: Column) -> Column:
+    """Whether a date with slashes has the day first, as its first number is no month."""
+    return (m.substr(3, 1) == "/") & (m.substr(1, 2).try_cast("int") > 12)
+
+
 def _date(m: Column) -> Column:
     """The day that a date names; null if there is none."""
-    iso, dotted = m.substr(5, 1) == "-", m.substr(3, 1) == "."
+    iso, dotted = m.substr(5, 1) == "-", (m.substr(3, 1) == ".") | _day_first(m)
     y = F.when(iso, m.substr(1, 4)).otherwise(m.substr(7, 4))
     month = F.when(iso, m.substr(6, 2)).when(dotted, m.substr(4, 2)).otherwise(m.substr(1, 2))
     day = F.when(iso, m.substr(9, 2)).when(dotted, m.substr(1, 2)).otherwise(m.substr(4, 2))
     return F.try_to_date(F.concat_ws("-", y, month, day), "yyyy-MM-dd")
 
 
+def _late_before(month: Column) -> Column:
+    """Days from the 13th on in the months of the cycle before one."""
+    return F.datediff(F.add_months(F.lit(EPOCH).cast("date"), month), F.lit(EPOCH).cast("date")) - 12 * month
+
+
+def _late_number(date: Column) -> Column:
+    """The place of a day among the cycle's days from the 13th on."""
+    return _late_before(((F.year(date) - 1800) * 12 + F.month(date) - 1).cast("int")) + F.day(date) - 13
+
+
+def _late_date(number: Column) -> Column:
+    near = F.floor(number * MONTHS / LATE_DAYS).cast("int")
+    month = F.element_at(F.filter(F.sequence(near - 2, near + 2), lambda k: _late_before(k) <= number), -1)
+    return let(month, lambda k: F.date_add(F.add_months(F.lit(EPOCH).cast("date"), k), (number - _late_before(k) + 12).cast("int")))
+
+
 def _vector(values: Column, radices: Column) -> Column:
     return F.struct(values.cast("array<int>").alias("v"), radices.cast("array<int>").alias("r"))
 
@@ -94,8 +118,17 @@ def _to_chars(s: Column, v: Column) -> Column:
     return F.array_join(F.transform(_chars(s), lambda c, i: F.when(c.between("0", "9"), letter(48, i)).when(c.between("A", "Z"), letter(65, i)).when(c.between("a", "z"), letter(97, i)).otherwise(c)), "")
 
 
-def feistel(vector: Column, key: Column, kind: Column, back: bool = False) -> Column:
-    """The permuted vector; ``back`` undoes it. Half by turns gets a digest of the other half added."""
+def _single(x: Column, key: Column, tweak: Column, back: bool) -> Column:
+    """The permuted vector of one number, which has no other half: numbers take the places of their digests in order."""
+    size = F.get(x["r"], 0)
+    drawn = F.transform(F.sequence(F.lit(0), size - 1), lambda k: F.struct(F.sha2(F.concat_ws("|", key, tweak, F.lit("single"), size, k), 256).alias("h"), k.alias("k")))
+    table = F.transform(F.sort_array(drawn), lambda d: d["k"])
+    value = F.get(x["v"], 0)
+    return F.array(((F.array_position(table, value) - 1) if back else F.get(table, value)).cast("int"))
+
+
+def feistel(vector: Column, key: Column, tweak: Column, back: bool = False) -> Column:
+    """The permuted vector; ``back`` undoes it. Half by turns gets a digest of the other half added; ``tweak`` tells formats apart."""
 
     def permuted(x: Column) -> Column:
         half = F.floor((F.size(x["v"]) + 1) / 2).cast("int")
@@ -103,11 +136,11 @@ def feistel(vector: Column, key: Column, kind: Column, back: bool = False) -> Co
         def turn(v: Column, number: Column) -> Column:
             mine = lambda i: (i < half) == (number % 2 == 0)
             other = F.array_join(F.filter(v, lambda _, i: ~mine(i)), ",")
-            drawn = lambda o, i: F.conv(F.substring(F.sha2(F.concat_ws("|", key, kind, number, F.size(v), i, o), 256), 1, 12), 16, 10).cast("long")
+            drawn = lambda o, i: F.conv(F.substring(F.sha2(F.concat_ws("|", key, tweak, number, F.size(v), i, o), 256), 1, 12), 16, 10).cast("long")
             return let(other, lambda o: F.transform(v, lambda one, i: F.when(mine(i), F.pmod(one - drawn(o, i) if back else one + drawn(o, i), F.get(x["r"], i)).cast("int")).otherwise(one)))
 
         rounds = reversed(range(ROUNDS)) if back else range(ROUNDS)
-        return F.aggregate(F.array(*map(F.lit, rounds)), x["v"], turn)
+        return F.when(F.size(x["v"]) == 1, _single(x, key, tweak, back)).otherwise(F.aggregate(F.array(*map(F.lit, rounds)), x["v"], turn))
 
     return let(vector, permuted)
 
@@ -121,6 +154,7 @@ def kind_of(m: Column) -> Column:
     checks = {
         "email": F.lit(True),
         "ip": F.forall(F.split(m, r"\."), lambda o: (o.cast("int") <= 255) & ((o == "0") | ~o.startswith("0"))),
+        "ip6": m.rlike("[0-9]") & F.when(m.contains("::"), F.size(F.array_remove(F.split(m, ":"), "")) <= 7).otherwise(True),
         "phone": F.when(_north(digits), (national(1) >= 2) & (national(4) >= 2)).otherwise(True),
         "date": let(_date(m), lambda d: d.between("1800-01-01", "2199-12-31")),
         "ssn": (~m.substr(1, 3).isin("000", "666")) & (m.substr(1, 1) != "9") & (m.substr(5, 2) != "00") & (m.substr(8, 4) != "0000"),
@@ -148,10 +182,14 @@ def pseudonym(m: Column, kind: Column, key: Column, back: bool = False) -> Colum
     octets = F.transform(F.split(m, r"\."), lambda o: o.cast("int"))
     area = m.substr(1, 3).cast("int")
     day = F.datediff(_date(m), F.lit(EPOCH).cast("date"))
+    late = _late_number(_date(m))
+    hexes = let(_of_chars(m), lambda x: _vector(x["v"], F.transform(x["r"], lambda r: F.when(r == 26, 6).otherwise(r))))
     vector = (
         F.when(kind == "email", _of_chars(local))
         .when(kind == "ip", _vector(octets, F.array(*[F.lit(256)] * 4)))
+        .when(kind == "ip6", hexes)
         .when(kind == "phone", _vector(F.transform(_chars(national), lambda c, i: c.cast("int") - offset(i)), F.transform(F.sequence(F.lit(0), F.lit(9)), lambda i: 10 - offset(i))))
+        .when((kind == "date") & _day_first(m), _vector(F.array(F.floor(late / LATE_LOW), late % LATE_LOW), F.array(F.lit(LATE_HIGH), F.lit(LATE_LOW))))
         .when(kind == "date", _vector(F.array(F.floor(day / LOW), day % LOW), F.array(F.lit(HIGH), F.lit(LOW))))
         .when(kind == "ssn", _vector(F.array(area - F.when(area > 666, 2).otherwise(1), m.substr(5, 2).cast("int") - 1, m.substr(8, 4).cast("int") - 1), F.array(F.lit(898), F.lit(99), F.lit(9999))))
         .when(kind == "iban", _of_chars(own_bban))
@@ -160,7 +198,8 @@ def pseudonym(m: Column, kind: Column, key: Column, back: bool = False) -> Colum
 
     def written_as(v: Column) -> Column:
         date = F.date_add(F.lit(EPOCH).cast("date"), (F.get(v, 0) * LOW + F.get(v, 1)).cast("int"))
-        styled = F.when(m.substr(5, 1) == "-", F.date_format(date, "yyyy-MM-dd")).when(m.substr(3, 1) == ".", F.date_format(date, "dd.MM.yyyy")).otherwise(F.date_format(date, "MM/dd/yyyy"))
+        late_date = let(F.get(v, 0) * LATE_LOW + F.get(v, 1), _late_date)
+        styled = F.when(_day_first(m), F.date_format(late_date, "dd/MM/yyyy")).otherwise(_styled(m, date))
         number = lambda k, width: F.lpad(k.cast("string"), width, "0")
         bban = _to_chars(own_bban, v)
         iban = let(bban, lambda b: F.concat(m.substr(1, 2), number(98 - mod97(F.concat(b, m.substr(1, 2), F.lit("00"))), 2), b))
@@ -169,6 +208,7 @@ def pseudonym(m: Column, kind: Column, key: Column, back: bool = False) -> Colum
         return (
             F.when(kind == "email", F.concat(_to_chars(local, v), host))
             .when(kind == "ip", F.array_join(v.cast("array<string>"), "."))
+            .when(kind == "ip6", _to_chars(m, v))
             .when(kind == "phone", let(phone, lambda d: _overlaid(m, d)))
             .when(kind == "date", styled)
             .when(kind == "ssn", F.concat_ws("-", number(F.get(v, 0) + F.when(F.get(v, 0) >= 665, 2).otherwise(1), 3), number(F.get(v, 1) + 1, 2), number(F.get(v, 2) + 1, 4)))
@@ -176,7 +216,12 @@ def pseudonym(m: Column, kind: Column, key: Column, back: bool = False) -> Colum
             .otherwise(let(card, lambda d: _overlaid(m, d)))
         )
 
-    return F.when(kind.isNull(), m).otherwise(let(feistel(vector, key, kind, back), written_as))
+    tweak = F.when(kind == "email", F.concat(kind, F.lower(host))).when((kind == "date") & _day_first(m), F.lit("late")).otherwise(kind)
+    return F.when(kind.isNull(), m).otherwise(let(feistel(vector, key, tweak, back), written_as))
+
+
+def _styled(m: Column, date: Column) -> Column:
+    return F.when(m.substr(5, 1) == "-", F.date_format(date, "yyyy-MM-dd")).when(m.substr(3, 1) == ".", F.date_format(date, "dd.MM.yyyy")).otherwise(F.date_format(date, "MM/dd/yyyy"))
 
 
 def _overlaid(m: Column, digits: Column) -> Column:

@@ -1,3 +1,5 @@
+import datetime as dt
+import hashlib
 import random
 import re
 from collections import Counter
@@ -256,6 +258,103 @@ def test_pseudonyms_permute_a_whole_format(spark):
     assert len(set(texts)) == len(texts) and all(len(r.found) == 1 for r in out)
 
 
+def plain_feistel(v, r, key, tweak, back=False):
+    """The network as its docstring says it, one number at a time."""
+    digest = lambda *x: hashlib.sha256("|".join(map(str, (key, tweak, *x))).encode()).hexdigest()
+    if len(v) == 1:
+        table = [k for _, k in sorted((digest("single", r[0], k), k) for k in range(r[0]))]
+        return [table.index(v[0]) if back else table[v[0]]]
+    v, half = list(v), (len(v) + 1) // 2
+    for number in reversed(range(8)) if back else range(8):
+        mine = [(i < half) == (number % 2 == 0) for i in range(len(v))]
+        other = ",".join(str(x) for x, own in zip(v, mine, strict=True) if not own)
+        v = [(x + (-1 if back else 1) * int(digest(number, len(v), i, other)[:12], 16)) % r[i] if mine[i] else x for i, x in enumerate(v)]
+    return v
+
+
+def plain_chars(text, key, tweak, letters=26):
+    kinds = [10 if "0" <= c <= "9" else letters if c.isascii() and c.isalpha() else 1 for c in text]
+    base = [48 if "0" <= c <= "9" else 65 if c.isupper() else 97 for c in text]
+    out = plain_feistel([ord(c) - b if k > 1 else 0 for c, k, b in zip(text, kinds, base, strict=True)], kinds, key, tweak)
+    return "".join(chr(b + x) if k > 1 else c for c, k, b, x in zip(text, kinds, base, out, strict=True))
+
+
+def plain_pseudonym(kind, m, key):
+    digits = re.sub("[^0-9]", "", m)
+    over = lambda new: (lambda it: re.sub("[0-9]", lambda _: next(it), m))(iter(new))
+    if kind == "email":
+        local, host = m.split("@")
+        return plain_chars(local, key, f"email@{host.lower()}") + "@" + host
+    if kind == "ip":
+        return ".".join(map(str, plain_feistel([int(x) for x in m.split(".")], [256] * 4, key, kind)))
+    if kind == "ip6":
+        return plain_chars(m, key, kind, 6)
+    if kind == "phone":
+        north = len(digits) == 10 or (len(digits) == 11 and digits[0] == "1")
+        low = [2 if north and i in (0, 3) else 0 for i in range(10)]
+        out = plain_feistel([int(c) - x for c, x in zip(digits[-10:], low, strict=True)], [10 - x for x in low], key, kind)
+        return over(digits[:-10] + "".join(str(x + y) for x, y in zip(out, low, strict=True)))
+    if kind == "date":
+        epoch, n = dt.date(1800, 1, 1), [int(x) for x in re.findall("[0-9]+", m)]
+        if m[2] == "/" and n[0] > 12:
+            late = [d for d in (epoch + dt.timedelta(k) for k in range(146097)) if d.day > 12]
+            at = late.index(dt.date(n[2], n[1], n[0]))
+            a, b = plain_feistel([at // 9833, at % 9833], [9, 9833], key, "late")
+            return late[a * 9833 + b].strftime("%d/%m/%Y")
+        day = dt.date(*n) if m[4] == "-" else dt.date(n[2], n[1], n[0]) if m[2] == "." else dt.date(n[2], n[0], n[1])
+        at = (day - epoch).days
+        a, b = plain_feistel([at // 773, at % 773], [189, 773], key, kind)
+        return (epoch + dt.timedelta(a * 773 + b)).strftime("%Y-%m-%d" if m[4] == "-" else "%d.%m.%Y" if m[2] == "." else "%m/%d/%Y")
+    if kind == "ssn":
+        areas = [x for x in range(1, 900) if x != 666]
+        a, b, c = plain_feistel([areas.index(int(m[:3])), int(m[4:6]) - 1, int(m[7:]) - 1], [898, 99, 9999], key, kind)
+        return f"{areas[a]:03d}-{b + 1:02d}-{c + 1:04d}"
+    if kind == "iban":
+        compact = m.replace(" ", "")
+        bban = plain_chars(compact[4:], key, kind)
+        check = 98 - int("".join(str(int(c, 36)) for c in bban + compact[:2] + "00")) % 97
+        out = f"{compact[:2]}{check:02d}{bban}"
+        return " ".join(re.findall(".{1,4}", out)) if " " in m else out
+    inner = plain_chars(digits[1:-1], key, kind)
+    return over(next(x for x in (digits[0] + inner + str(k) for k in range(10)) if luhn(x)))
+
+
+def test_pseudonyms_equal_a_plain_network(spark):
+    rng = random.Random(31)
+    number = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    day = lambda form: (dt.date(1800, 1, 1) + dt.timedelta(rng.randrange(146097))).strftime(form)
+
+    def card():
+        body = rng.choice("3456") + number(rng.choice((11, 14, 17)))
+        return next(x for x in (body + str(k) for k in range(10)) if luhn(x))
+
+    def iban():
+        bban = number(18)
+        return f"DE{98 - int(''.join(str(int(c, 36)) for c in bban + 'DE00')) % 97:02d}{bban}"
+
+    makes = {
+        "email": lambda: rng.choice(("a", "z", "Jo.hn", "x_1+y", "q9", "b")) + rng.choice(("@mail.example.com", "@Mail.Example.com", "@b.org")),
+        "ip": lambda: ".".join(str(rng.randrange(256)) for _ in range(4)),
+        "ip6": lambda: rng.choice(("2001:0db8:85a3:0000:0000:8a2e:0370:7334", "fe80::1", "2001:DB8::FF00:42:8329", "0::0", f"{number(4)}::a{number(2)}")),
+        "phone": lambda: rng.choice((f"+1 (74{number(1)}) 555-{number(4)}", f"+49 {number(3)} {number(3)} {number(4)}", f"74{number(1)}-555-{number(4)}")),
+        "date": lambda: rng.choice((day("%Y-%m-%d"), day("%d.%m.%Y"), day("%m/%d/%Y"), dt.date(rng.randrange(1800, 2200), rng.randrange(1, 13), rng.randrange(13, 29)).strftime("%d/%m/%Y"))),
+        "ssn": lambda: f"{rng.randrange(1, 666):03d}-{rng.randrange(1, 100):02d}-{rng.randrange(1, 10000):04d}",
+        "iban": lambda: rng.choice((iban(), " ".join(re.findall(".{1,4}", iban())))),
+        "card": lambda: rng.choice((card(), " ".join(re.findall(".{1,4}", card())))),
+    }
+    values = [(kind, make()) for kind, make in makes.items() for _ in range(30)] + [("date", "31/12/1999"), ("date", "29/02/2024"), ("date", "13/01/1800"), ("date", "31/12/2199"), ("date", "01/02/2003")]
+    rows = [(k, f"<{v}>") for k, (_, v) in enumerate(values)]
+    out = pii.pseudonymise(frame(spark, rows), ["doc_id"], "key")
+    got = {r._kept.doc_id: r for r in out.collect()}
+    for k, (kind, v) in enumerate(values):
+        assert [x.kind for x in got[k].found] == [kind], (kind, v, got[k])
+        assert got[k].text == f"<{plain_pseudonym(kind, v, 'key')}>", (kind, v)
+    back = pii.pseudonymise(out.select("_kept.doc_id", "text"), ["doc_id"], "key", back=True)
+    assert sorted((r._kept.doc_id, r.text) for r in back.collect()) == rows
+    plain = [(1, "std::vector at 12:30:45, add::bed and 31/13/1999, 1:2:3:4:5:6:7:8:9, 32/01/2000")]
+    assert pii.pseudonymise(frame(spark, plain), ["doc_id"], "key").first().text == plain[0][1]
+
+
 def test_url_rules(spark):
     schema = "page_id long, url string, host string, rule string, verdict string"
     urls = ["http://a.net/x", "http://NET/", "http://net", "https://x.example.net/en/1?q", "https://example.net/enx", "http://example.net:80/en/", "ftp://example.com/de/#f", "http://org/fr/", "http://xorg/fr/", "//a.net/", None, "", "http://", "a://b://c.net/", "http://A.B.Example.COM/de/x", "http://example.com/DE/", "http://a.net?x/", "http://.net/y", "http://a..net/" + "z" * 5000]
