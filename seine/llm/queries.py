@@ -14,7 +14,7 @@ from .packing import pack_documents
 from .pii import KINDS, pseudonymise
 from .quality import judge
 from .secrets import BASE, RULES, find_secrets
-from .shared import scratch_dir
+from .shared import recorded, scratch_dir
 from .suffix_dedup import remove_repeats
 from .token_codes import read_token_codes, write_token_codes
 from .topk import exact_top_k
@@ -43,6 +43,7 @@ def op1_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "token-codes")
+    recorded(spark).append(path)
     write_token_codes(table(spark, sf_dir, "documents"), path, WORD_BPE, end_id=2)
     return read_token_codes(spark, path)
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,8 +28,12 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows of ``df`` from a table written to the shared folder: cuts the lineage, outlives executors."""
+    """The rows of ``df`` from a table written to the shared folder: cuts the lineage, outlives executors.
+
+    Results are lazy, so such a table stays until ``drop`` or ``release``, or the end of a ``scope``.
+    """
     path = scratch_dir(df.sparkSession, name)
+    recorded(df.sparkSession).append(path)
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._scratch_path = path
@@ -37,7 +43,45 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def drop(*tables: DataFrame) -> None:
     """Removes tables that ``written`` made, once what was made from them is written itself."""
     for t in tables:
-        delete(t.sparkSession, t._scratch_path)
+        _remove(t.sparkSession, [t._scratch_path])
+
+
+def recorded(spark: SparkSession) -> list[str]:
+    """Paths in the shared folder that this program wrote and has not removed."""
+    context = spark.sparkContext
+    if not hasattr(context, "_seine_scratch"):
+        context._seine_scratch = []
+    return context._seine_scratch
+
+
+def _remove(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        delete(spark, path)
+        with contextlib.suppress(ValueError):
+            recorded(spark).remove(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Removes all that was written and is left, once no result is needed any more."""
+    _remove(spark, list(recorded(spark)))
+
+
+@contextlib.contextmanager
+def scope(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Removes the tables written inside when it ends, or when something fails, but those handed to what it gives."""
+    before, kept = set(recorded(spark)), set()
+
+    def keep(table: DataFrame) -> DataFrame:
+        kept.add(table._scratch_path)
+        return table
+
+    try:
+        yield keep
+    except BaseException:
+        kept.clear()
+        raise
+    finally:
+        _remove(spark, [p for p in recorded(spark) if p not in before | kept])
 
 
 def delete(spark: SparkSession, path: str) -> None:

@@ -1,6 +1,10 @@
+import os
 import random
 
+import pytest
+
 import corpus_pipeline
+from seine.llm import shared
 from seine.llm.queries import QUERIES
 
 from .common import edge, empty, frame, words
@@ -57,3 +61,21 @@ def test_run_and_queries_on_a_small_table(spark):
     assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() > 0
     for name in ("op1_feistel_pseudonyms", "op3_quality_rules", "op4_secret_scan", "op9_byte_bpe"):
         assert QUERIES[name](spark, "/root/testdata/sf0.001").count() == 200
+
+
+def test_written_tables_go_when_their_use_ends(spark):
+    at = lambda: set(shared.recorded(spark))
+    shared.release(spark)
+    with shared.scope(spark) as keep:
+        first = keep(shared.written(spark.range(3).toDF("x"), "kept"))
+        second = shared.written(spark.range(3).toDF("x"), "gone")
+    assert at() == {first._scratch_path} and first.count() == 3 and not os.path.exists(second._scratch_path.removeprefix("file:"))
+    with pytest.raises(ZeroDivisionError), shared.scope(spark) as keep:
+        keep(shared.written(spark.range(3).toDF("x"), "failed"))
+        raise ZeroDivisionError
+    assert at() == {first._scratch_path}
+    shared.release(spark)
+    assert not at() and not os.path.exists(first._scratch_path.removeprefix("file:"))
+    out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    assert out.count() > 0 and {p.rsplit("/", 1)[1].split("-")[0] for p in at()} <= {"secret_scan", "pieces"}
+    shared.release(spark)
