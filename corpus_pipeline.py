@@ -16,7 +16,7 @@ from seine.llm.packing import pack_documents
 from seine.llm.quality import judge
 from seine.llm.queries import PASSAGE, WORD_BPE, table
 from seine.llm.secrets import find_secrets
-from seine.llm.shared import text_digest, written
+from seine.llm.shared import drop, scope, text_digest, written
 from seine.llm.suffix_dedup import remove_repeats
 
 
@@ -89,6 +89,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+    for k, (name, stage) in enumerate(STAGES[:-1]):
+        with scope(spark) as keep:
+            out = keep(written(stage(spark, docs, sf_dir), name))
+        if k:
+            drop(docs)
+        docs = out
     return STAGES[-1][1](spark, docs, sf_dir)
