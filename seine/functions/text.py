@@ -100,15 +100,10 @@ def left_chars(s: Column, n: int) -> Column:
     return F.substring(s, 1, n)
 
 
-def _preview(values: pd.Series) -> pd.Series:
-    return values.map(lambda x: x if x is None else x.encode()[:2048].decode(errors="ignore"))
-
-
-def byte_preview(s: Column) -> Column:
-    """At most 2048 bytes, cut before a character that would not fit."""
-    ship_package(SparkSession.active())
-    cut = F.pandas_udf(_preview, "string")
-    return F.when(F.octet_length(s) <= 2048, s).otherwise(cut(F.when(F.octet_length(s) > 2048, s)))
+def byte_preview(s: Column, n: int = 2048) -> Column:
+    """At most so many bytes, cut before a character that would not fit."""
+    cuts = [F.substring(s.cast("binary"), 1, n - k).cast("string") for k in range(4)]
+    return F.when(F.octet_length(s) <= n, s).otherwise(F.coalesce(*(F.when(F.is_valid_utf8(x), x) for x in cuts)))
 
 
 def _pretty(values: pd.Series, lengths: pd.Series) -> pd.Series:

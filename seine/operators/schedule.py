@@ -80,19 +80,30 @@ def allowed_requests(rows: DataFrame, key: str, at: str, order: str, seconds: fl
     """Requests of each key that a cooldown lets through; only those reset it.
 
     Whether one passes depends on the last that did, so rows of a key are taken in order. They
-    stream through sorted partitions with one time a key in hand, whatever a key's size.
+    stream through sorted partitions with one time a key in hand, whatever a key's size, and a
+    binary search leaps from each that passes to the next.
     """
     ship_package(rows.sparkSession)
     columns = rows.columns
     schema = rows.schema.add("allowed", "boolean")
 
     def take(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last_key, last = object(), None
+        last_key, last = object(), 0
+        least = int(seconds * 1_000_000)
         for batch in batches:
-            flags = np.zeros(len(batch), bool)
-            for k, (name, when) in enumerate(zip(batch[key], batch[at], strict=True)):
-                if name != last_key or last is None or (when - last).total_seconds() >= seconds:
-                    flags[k], last_key, last = True, name, when
+            if batch.empty:
+                continue
+            flags, times = np.zeros(len(batch), bool), batch[at].to_numpy().astype("datetime64[us]").astype("i8")
+            codes = pd.factorize(batch[key], use_na_sentinel=False)[0]
+            starts = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
+            for lo, hi in zip(starts, np.append(starts[1:], len(batch)), strict=True):
+                name = batch[key].iloc[lo]
+                same = name == last_key or (pd.isna(name) and pd.isna(last_key))
+                k = lo + int(np.searchsorted(times[lo:hi], last + least)) if same else lo
+                while k < hi:  # from one that passes to the next
+                    flags[k], last = True, times[k]
+                    k = max(k + 1, lo + int(np.searchsorted(times[lo:hi], last + least)))
+                last_key = name
             yield batch.assign(allowed=flags)[[*columns, "allowed"]]
 
     return rows.repartition(key).sortWithinPartitions(key, at, order).mapInPandas(take, schema)

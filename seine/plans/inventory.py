@@ -644,6 +644,16 @@ def versioned_state(spark, sf):
     return writers.latest(spark, path)
 
 
+@query(C.SQL["merge_discovered"].split("CASE WHEN f.domain IS NOT NULL THEN CAST(0.75")[0].rstrip().rstrip(",") + " FROM records r FULL JOIN found f ON r.domain = f.domain")
+def merge_touched_buckets(spark, sf):
+    """The same upsert over state in buckets: written once whole, then changed where the source has keys."""
+    path, rows = T.scratch(spark, "buckets"), T.records(spark, sf)
+    empty = rows.where("false")
+    writers.merge_buckets(path, rows, ["domain"], lambda _, source: source, empty, 16)
+    writers.merge_buckets(path, C._found(spark, sf), ["domain"], lambda part, source: merge.mark_discovered(part, source, C.as_of()), empty, 16)
+    return writers.read_buckets(spark, path, empty).select("domain", "api_url", "status")
+
+
 @query(f"WITH {T.RECORDS} SELECT domain, next_replay FROM records WHERE status = 'discovered' AND next_replay <= {C.AS_OF_SQL}")
 def due_from_partitions(spark, sf):
     """Due records out of state in folders by status, sorted by time: other folders and later row groups aren't read."""

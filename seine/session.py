@@ -42,12 +42,17 @@ def ship_package(spark: SparkSession) -> None:
 
 #: Bytes of an Arrow batch: a batch of whole texts is then as small as one of numbers, whatever their length.
 BATCH_BYTES = 8 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
-    """``mapInArrow`` with this package on the workers, small batches, and memory given back after each task."""
+    """``mapInArrow`` with this package on the workers, small batches, and memory given back after each task.
+
+    The size of batches is read when a plan runs, so it is set for the session, unless someone has set it.
+    """
     ship_package(df.sparkSession)
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{BATCH_BYTES}b")
+    if BATCH_SETTING not in df.sparkSession.conf.getAll:
+        df.sparkSession.conf.set(BATCH_SETTING, f"{BATCH_BYTES}b")
 
     def run(batches):
         yield from function(batches)

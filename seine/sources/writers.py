@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -71,6 +73,38 @@ def latest(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/v{versions(spark, path)[-1]:08d}")
 
 
+def merge_buckets(path: str, source: DataFrame, keys: list[str], change: Callable[[DataFrame, DataFrame], DataFrame], empty: DataFrame, buckets: int = 64) -> None:
+    """Changes state kept in buckets by a hash of its keys; only buckets that the source touches are read and written.
+
+    A version holds new files for those, and a list of which version has each bucket; state without
+    a list is ``empty``. Readers see the old list or the new one. ``change`` gets the touched part of
+    the state and the source. At most ``buckets`` numbers come to the driver.
+    """
+    spark = source.sparkSession
+    number = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    known = _bucket_list(spark, path)
+    touched = {r.b for r in source.select(number.alias("b")).distinct().collect()}
+    old = [f"{path}/data/v{known[b]:08d}/bucket={b}" for b in sorted(touched & set(known))]
+    part = spark.read.schema(empty.schema).parquet(*old) if old else empty
+    version = (versions(spark, f"{path}/lists") or [0])[-1] + 1
+    target = f"{path}/data/v{version:08d}"
+    change(part, source).withColumn("bucket", number).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(target)
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    left = {int(x.getPath().getName()[7:]) for x in at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(at) if x.getPath().getName().startswith("bucket=")}
+    listed = {b: v for b, v in known.items() if b not in touched} | dict.fromkeys(left, version)
+    spark.createDataFrame(sorted(listed.items()), "bucket int, version int").coalesce(1).write.mode("errorifexists").parquet(f"{path}/lists/v{version:08d}")
+
+
+def _bucket_list(spark: SparkSession, path: str) -> dict[int, int]:
+    return {r.bucket: r.version for r in latest(spark, f"{path}/lists").collect()} if versions(spark, f"{path}/lists") else {}
+
+
+def read_buckets(spark: SparkSession, path: str, empty: DataFrame) -> DataFrame:
+    """The state that ``merge_buckets`` has made."""
+    known = _bucket_list(spark, path)
+    return spark.read.schema(empty.schema).parquet(*(f"{path}/data/v{v:08d}/bucket={b}" for b, v in sorted(known.items()))) if known else empty
+
+
 def pointers(rows: DataFrame, key: str, location: str, content: str) -> DataFrame:
     """What an archive's table holds of each object: its key, where it lies, its size and digest."""
     return rows.select(key, F.col(location).alias("location"), F.octet_length(content).cast("long").alias("size"), F.sha2(content, 256).alias("digest"))

@@ -188,3 +188,36 @@ def test_previews_and_similarity(spark):
     assert rows.select(text.trigram_similarity(F.lit("word"), F.col("w"))).collect()[0][0] == 1.0
     long = spark.createDataFrame([("é" * 1500,), ("ok",)], "s string").select(text.byte_preview(F.col("s"))).collect()
     assert [len(r[0]) for r in long] == [1024, 2]
+
+
+def test_cooldown_equals_a_row_by_row_walk(spark):
+    import random
+
+    rng = random.Random(5)
+    rows = [(rng.choice(("a", "b", None)), dt.datetime(2024, 1, 1) + dt.timedelta(seconds=rng.randrange(4000), microseconds=rng.randrange(3)), k) for k in range(3000)]
+    last, want = {}, set()
+    for host, when, k in sorted(rows, key=lambda r: (str(r[0]), r[1], r[2])):
+        if host not in last or (when - last[host]).total_seconds() >= 37:
+            last[host] = when
+            want.add(k)
+    out = schedule.allowed_requests(spark.createDataFrame(rows, "host string, at timestamp, id int"), "host", "at", "id", 37)
+    assert {r.id for r in out.where("allowed").collect()} == want
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        out = schedule.allowed_requests(spark.createDataFrame(rows, "host string, at timestamp, id int"), "host", "at", "id", 37)
+        assert {r.id for r in out.where("allowed").collect()} == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_only_touched_buckets_are_written(spark, tmp_path):
+    at, empty = f"{tmp_path}/state", spark.createDataFrame([], "k int, v string")
+    rows = lambda some, v: spark.createDataFrame([(k, v) for k in some], "k int, v string")
+    change = lambda part, source: merge.merge(part, source, ["k"], {"v": F.col("s.v")})
+    writers.merge_buckets(at, rows(range(100), "old"), ["k"], change, empty, 8)
+    writers.merge_buckets(at, rows([5, 200], "new"), ["k"], change, empty, 8)
+    assert {r.k: r.v for r in writers.read_buckets(spark, at, empty).collect()} == {k: "old" for k in range(100)} | {5: "new", 200: "new"}
+    assert len(list((tmp_path / "state/data/v00000002").glob("bucket=*"))) <= 2
+    writers.merge_buckets(at, rows(range(100), "x"), ["k"], lambda part, _: part.where("k > 99"), empty, 8)
+    assert [r.k for r in writers.read_buckets(spark, at, empty).collect()] == [200]
+    assert writers.read_buckets(spark, f"{tmp_path}/none", empty).count() == 0
