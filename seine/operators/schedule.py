@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +40,58 @@ def frontier(scored: DataFrame, capacity: int, score: str = "score", order: str
     return scored.orderBy(F.desc(score), order).limit(capacity)
 
 
+#: What a refused URL loses when it goes back into the queue, and what it keeps at least.
+PENALTY, LEAST_SCORE = 0.05, 0.10
+
+
+class _Queue:
+    """A bounded queue: best score first, of equal ones the earlier; a full one takes only what beats its worst."""
+
+    def __init__(self, capacity: int):
+        self.capacity, self.held = capacity, []
+
+    def push(self, score: float, seq: int, url: str) -> None:
+        if len(self.held) >= self.capacity:
+            if not self.held or score <= self.held[0][0]:
+                return
+            del self.held[0]
+        bisect.insort(self.held, (score, -seq, url))
+
+    def pop(self) -> tuple[str, float] | None:
+        if not self.held:
+            return None
+        score, _, url = self.held.pop()
+        return url, score
+
+
+def frontier_run(operations: DataFrame, capacity: int) -> DataFrame:
+    """What each pop gives (queue, seq, url, score), of operations (queue, seq, op, url, score, refused) in order of ``seq``.
+
+    ``op`` is push or pop; a pop that is ``refused`` puts its URL back with a lower score. A pop of
+    an empty queue gives no row. Operations stream through sorted partitions, so only a bounded
+    queue is in hand, whatever their number.
+    """
+    ship_package(operations.sparkSession)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        name, queue = None, _Queue(capacity)
+        for batch in batches:
+            out = []
+            for own, seq, op, url, score, refused in batch.itertuples(index=False, name=None):
+                if own != name:
+                    name, queue = own, _Queue(capacity)
+                if op == "push":
+                    queue.push(score, seq, url)
+                elif (got := queue.pop()) is not None:
+                    out.append((own, seq, *got))
+                    if refused:
+                        queue.push(max(got[1] - PENALTY, LEAST_SCORE), seq, got[0])
+            yield pd.DataFrame(out, columns=["queue", "seq", "url", "score"])
+
+    rows = operations.select(F.col("queue").cast("string"), F.col("seq").cast("long"), "op", "url", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"), F.coalesce("refused", F.lit(False)).alias("refused"))
+    return rows.repartition("queue").sortWithinPartitions("queue", "seq").mapInPandas(run, "queue string, seq long, url string, score double")
+
+
 def with_company(queue: DataFrame, companies: DataFrame, key: str = "url") -> DataFrame:
     """Queued URLs with what is known of their company; of several companies of one URL the last by id counts."""
     own = [c for c in companies.columns if c != key]

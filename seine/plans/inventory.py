@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import jsons, rules, scoring, text, times, urls
-from ..operators import capturing, features, merge, parse, probing, reports, routing, schedule, urllists
+from ..operators import bloom, capturing, features, merge, parse, probing, reports, routing, schedule, urllists
 from ..sources import readers, writers
 from ..streaming import pipelines
 from . import catalogue as C
@@ -374,6 +374,23 @@ def label_queue(spark, sf):
     return schedule.label_queue(T.captures(spark, sf), 60).select("id", "domain", "captured_at")
 
 
+@query(C.SQL["seen_anti_join"])
+def bloom_unseen(spark, sf):
+    """Companies without a record, by a Bloom filter of the records with so few false hits that none is likely."""
+    size = bloom.size_for(2_000_000, 1e-9)
+    records = T.records(spark, sf)
+    held = bloom.united(bloom.build(records.where("confidence > 0.8"), "domain", size), bloom.build(records.where("confidence <= 0.8"), "domain", size))
+    return bloom.without_held(T.companies(spark, sf), "domain", held, size).select("id", "domain")
+
+
+@query()
+def frontier_pops(spark, sf):
+    """Events push URLs into a queue for each day, and errors pop one, which is refused where the value is small."""
+    pop = F.col("event_type") == "error"
+    rows = T.read(spark, sf, "events").select(F.to_date("ts").cast("string").alias("queue"), F.col("event_id").alias("seq"), F.when(pop, "pop").otherwise("push").alias("op"), F.concat(F.lit("u"), "event_id").alias("url"), (F.col("value") / 100).alias("score"), (F.col("value") < 10).alias("refused"))
+    return schedule.frontier_run(rows, 25)
+
+
 # Slugs.
 
 

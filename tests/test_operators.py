@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 from seine.functions import text
-from seine.operators import capturing, features, merge, reports, routing, schedule, urllists
+from seine.operators import bloom, capturing, features, merge, reports, routing, schedule, urllists
 from seine.plans import catalogue
 from seine.sources import readers, writers
 from seine.streaming import pipelines
@@ -221,3 +221,42 @@ def test_only_touched_buckets_are_written(spark, tmp_path):
     writers.merge_buckets(at, rows(range(100), "x"), ["k"], lambda part, _: part.where("k > 99"), empty, 8)
     assert [r.k for r in writers.read_buckets(spark, at, empty).collect()] == [200]
     assert writers.read_buckets(spark, f"{tmp_path}/none", empty).count() == 0
+
+
+def test_frontier_runs_like_a_plain_list(spark):
+    import random
+
+    rng = random.Random(8)
+    rows = [(rng.choice("ab"), k, rng.choice(("push", "push", "pop")), f"u{k}", rng.choice((0.1, 0.12, 0.3, 0.5, 0.9)), rng.random() < 0.4) for k in range(600)]
+    want, held = [], {"a": [], "b": []}
+
+    def push(queue, score, k, url):
+        if len(queue) >= 7:
+            worst = min(queue, key=lambda x: (x[0], -x[1]))
+            if score <= worst[0]:
+                return
+            queue.remove(worst)
+        queue.append((score, k, url))
+
+    for name, k, op, url, score, refused in rows:
+        queue = held[name]
+        if op == "push":
+            push(queue, score, k, url)
+        elif queue:
+            best = max(queue, key=lambda x: (x[0], -x[1]))
+            queue.remove(best)
+            want.append((name, k, best[2], best[0]))
+            if refused:
+                push(queue, max(best[0] - 0.05, 0.10), k, best[2])
+    got = schedule.frontier_run(spark.createDataFrame(rows, "queue string, seq long, op string, url string, score double, refused boolean").repartition(5), 7).collect()
+    assert sorted((r.queue, r.seq, r.url, r.score) for r in got) == sorted(want)
+
+
+def test_bloom_filter(spark):
+    size = bloom.size_for(1000, 0.01)
+    assert bloom.size_for(10_000_000, 1e-4).bits // 8 // 10**6 == 23 and size.hashes == 7
+    keys = spark.createDataFrame([(f"k{k}",) for k in range(1000)] + [(None,)], "key string")
+    asked = spark.createDataFrame([(k, f"k{k}") for k in range(3000)] + [(-1, None), (5, "k5")], "n int, key string")
+    left = bloom.without_held(asked, "key", bloom.build(keys, "key", size), size).collect()
+    assert all(r.n >= 1000 or r.n == -1 for r in left) and len([r for r in left if r.n >= 1000]) > 1930 and sum(r.n == -1 for r in left) == 1
+    assert bloom.without_held(asked, "key", bloom.build(keys.limit(0), "key", size), size).count() == 3002
