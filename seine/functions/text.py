@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, SparkSession
@@ -184,13 +185,17 @@ def _posting_url(html: Column, domain: Column) -> Column:
     return F.get(F.array_compact(found), 0)
 
 
-def endpoint_matches(html: Column, domain: Column) -> Column:
-    """Array of (pattern, method, url) in declared order; only http(s) addresses count."""
+def endpoint_matches(html: Column, domain: Column, extra: tuple[tuple[str, str, Callable[[Column, Column], Column]], ...] = ()) -> Column:
+    """Array of (pattern, method, url) in declared order; only http(s) addresses count.
+
+    ``extra`` are the caller's own: a name, a method, and a function of page and domain that gives an address or null.
+    """
     rows = []
     for name, method, pattern, relative in rules.ENDPOINTS:
         hit = F.nullif(F.regexp_extract(html, pattern, 1), F.lit(""))
         rows.append((name, method, urls.absolute(hit, domain) if relative else hit))
     preconnect = F.nullif(F.regexp_extract(html, rules.PRECONNECT, 1), F.lit(""))
     rows += [("nextjs_data", "GET", _payload_url(html)), ("preconnect", "GET", urls.origin(preconnect)), ("csp_meta", "GET", _policy_host(html)), ("schema_org_jobs", "GET", _posting_url(html, domain))]
+    rows += [(name, method, find(html, domain)) for name, method, find in extra]
     made = [F.when(u.isNotNull() & urls.is_http(u), F.struct(F.lit(n).alias("pattern"), F.lit(m).alias("method"), u.alias("url"))) for n, m, u in rows]
     return F.array_compact(F.array(*made))

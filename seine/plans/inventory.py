@@ -90,6 +90,40 @@ def platform_endpoints(spark, sf):
     return rows.select("c_custkey", urls.platform_domain(ats, slug).alias("domain"), "api_url", urls.endpoint_method(ats).alias("method"), capturing.request_url(ats, F.col("api_url")).alias("request"), F.when(ats == "greenhouse", capturing.board_slug(F.col("api_url"))).alias("board"))
 
 
+MIGRATED = [p for p, _ in rules.MIGRATED_PARTS] + ["nowhere.example", "greenhouse.com"]
+
+
+@query(f"""SELECT c_custkey, {picked_sql("c_custkey", [v for _, v in rules.MIGRATED_PARTS] + ["unknown", "unknown"])} platform FROM customer""")
+def migrated_platforms(spark, sf):
+    url = F.concat(F.lit("https://x."), picked("c_custkey", MIGRATED), F.lit("/jobs"))
+    return T.read(spark, sf, "customer").select("c_custkey", urls.migrated_platform(url).alias("platform"))
+
+
+RANKED = [
+    ("https://acme.greenhouse.io/x", 40, "Known Global ATS Subdomain (+40)"), ("https://careers.acme.example/x", 20, "Dedicated Careers Subdomain (+20)"), ("https://acme.example/about/careers", 15, "Careers/Jobs contained in path (+15)"),
+    ("https://acme.keka.com", 15, "Known Indian ATS (+15)"), ("https://found.example/x", 25, "Previously Discovered API (+25)"), ("https://labelled.example/", 20, "Exists in label=1 Captures (+20)"),
+    ("https://jobs.lever.co/jobs", 75, "Known Global ATS Subdomain (+40);Dedicated Careers Subdomain (+20);Careers/Jobs contained in path (+15)"), ("https://plain.example", 0, ""),
+    ("https://www.both.example/careers", 60, "Careers/Jobs contained in path (+15);Previously Discovered API (+25);Exists in label=1 Captures (+20)"),
+]
+
+
+@query(f"""SELECT page_id, {picked_sql("page_id", [x[1] for x in RANKED], "INT")} score, {picked_sql("page_id", [x[2] for x in RANKED])} signals FROM pages""")
+def url_rank_signals(spark, sf):
+    pages = T.read(spark, sf, "pages").select("page_id", picked("page_id", [x[0] for x in RANKED]).alias("url"))
+    hosts = lambda *some: spark.createDataFrame([(h,) for h in some], "domain string")
+    out = urllists.ranked_urls(pages, hosts("found.example", "both.example"), hosts("labelled.example", "both.example"))
+    return out.select("page_id", "score", F.array_join("signals", ";").alias("signals"))
+
+
+@query("""SELECT page_id, 'own POST https://own.example/' || page_id AS found FROM pages""")
+def own_page_pattern(spark, sf):
+    """A pattern of the caller's own beside the fixed ones."""
+    html = F.concat(F.lit("<i own="), F.col("page_id").cast("string"), F.lit(">"))
+    own = lambda page, _: F.concat(F.lit("https://own.example/"), F.nullif(F.regexp_extract(page, "own=([0-9]+)", 1), F.lit("")))
+    rows = T.read(spark, sf, "pages").select("page_id", text.endpoint_matches(html, F.lit("d.example"), (("own", "POST", own), ("none", "GET", lambda *_: F.lit(None).cast("string")))).alias("m"))
+    return rows.select("page_id", F.array_join(F.transform("m", lambda m: F.concat_ws(" ", m["pattern"], m["method"], m["url"])), ",").alias("found"))
+
+
 @query("""WITH s AS (SELECT CASE WHEN o_totalprice > 490000 THEN 'timeout' WHEN o_orderkey % 600 BETWEEN 200 AND 299 THEN 'reachable' WHEN o_orderkey % 600 BETWEEN 300 AND 399 THEN 'redirect' ELSE 'dead' END AS status FROM orders) SELECT status, count(*) n FROM s GROUP BY 1""")
 def validation_statuses(spark, sf):
     status = urls.http_status((F.col("o_orderkey") % 600).cast("int"), F.col("o_totalprice") > 490000)

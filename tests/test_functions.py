@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from seine.functions import jsons, scoring, text, times, urls
 from seine.operators import parse
 
+# The inputs of this file and the scores and fields that each must give.
 PAD = "x" * 500
 
 
