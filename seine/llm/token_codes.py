@@ -109,7 +109,8 @@ def write_token_codes(docs: DataFrame, path: str, tokenizer: str, end_id: int, i
 
     A null text is an empty one; a null id sorts first; rows with one id sort by a hash of the text (the text itself would go to the driver
     with the sample of sort keys). An
-    empty table gives a file without segments. Other columns are not read. Texts are put in
+    empty table gives a file without segments. A path that exists already is an error, and nothing
+    there changes. Other columns are not read. Texts are put in
     order first and encoded after, so each is encoded once.
     """
     spark = docs.sparkSession

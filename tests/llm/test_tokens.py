@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
@@ -149,3 +150,11 @@ def test_byte_bpe_query(spark):
     full = byte_bpe.encode_decode(frame(spark, [(1, LONG[:500])]), BYTE_BPE).first()
     assert full.ids == plain.encode_ordinary(LONG[:500]) and bytes(full.decoded).decode() == LONG[:500] and full.offsets[0] == 0
     assert byte_bpe.encode_digest(empty(spark), BYTE_BPE).count() == 0
+
+
+def test_code_files_are_not_written_over(spark, tmp_path):
+    path = str(tmp_path / "codes")
+    token_codes.write_token_codes(frame(spark, [(1, "one")]), path, WORD_BPE, end_id=2)
+    with pytest.raises(Exception, match="already exists|PATH_ALREADY_EXISTS"):
+        token_codes.write_token_codes(frame(spark, [(1, "two"), (2, "three")]), path, WORD_BPE, end_id=2)
+    assert token_codes.read_token_codes(spark, path).count() == 1
