@@ -525,7 +525,9 @@ def job_parse_heuristic(spark, sf):
     return parse.parse_heuristic(T.bodies(spark, sf).withColumnRenamed("body", "raw_json"), ["source_id"]).select("source_id", "external_job_id", "title", "location")
 
 
-@query()
+@query(f"""WITH {T.ITEMS}, j AS (SELECT source_id, sum(octet_length(encode('{{"id":' || external_id || ',"title":"' || title || '","location":{{"name":"site ' || l_suppkey || '"}},"departments":[{{"name":"' || p_type || '"}}],"first_published":"2000-01-01T00:00:00Z","branch_id":' || l_suppkey || ',"absolute_url":"https://x.example/' || l_partkey || '"}}'))) + count(*) - 1 size FROM items GROUP BY 1),
+b AS (SELECT source_id, sum(octet_length(encode('{{"id":' || l_suppkey || ',"city":"city ' || (l_suppkey % 7) || '","country_code":"XX","location":"place ' || l_suppkey || '"}}'))) + count(*) - 1 size FROM (SELECT DISTINCT source_id, l_suppkey FROM items WHERE l_suppkey % 2 = 0) GROUP BY 1)
+SELECT source_id, round(0.15 + 0.40 + 0.20 + CASE WHEN b.size > 0 THEN 0.15 ELSE 0 END + CASE WHEN 25 + j.size + coalesce(b.size, 0) >= 500 THEN 0.10 ELSE 0 END, 6)::DOUBLE score, 'shape1_full_list' shape FROM j LEFT JOIN b USING (source_id)""")
 def body_shape_score(spark, sf):
     """JSON of any depth is walked in Python."""
     url = F.concat(F.lit("https://api.example.com/jobs/"), "source_id")
