@@ -111,9 +111,39 @@ def near_miss_queue(near: DataFrame, limit: int | None = None) -> DataFrame:
     return rows.limit(limit) if limit else rows
 
 
-def rolling_mean(rows: DataFrame, key: str, order: str, value: str, last: int = 1000) -> DataFrame:
+#: Rows of a key in one sorted window; a key with more is cut into stretches of its order.
+MOST_ROWS = 1_000_000
+
+
+def _stretches(rows: DataFrame, key: str, order: list[str], before: int, most: int) -> DataFrame:
+    """Rows with ``_part``, and before each stretch of a hot key copies (``_copy``) of the rows that precede it.
+
+    A key of over ``most`` rows is cut at equal widths of the first order column, a number or a
+    time, so where a row goes follows from counts and bounds alone. What follows may sort each
+    (key, ``_part``) by itself and then leave the copies out.
+    """
+    first = F.col(order[0])
+    at = (F.unix_micros(first.cast("timestamp")) if rows.schema[order[0]].dataType.typeName().startswith("timestamp") else first).cast("double")
+    spans = rows.groupBy(F.col(key).alias("_k")).agg(F.count("*").alias("_n"), F.min(at).alias("_lo"), F.max(at).alias("_hi")).where(F.col("_n") > most)
+    parts = F.ceil(F.col("_n") / most)
+    place = F.when(F.col("_hi") > F.col("_lo"), F.least(F.floor((at - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * parts), parts - 1))
+    cut = rows.join(spans, F.col(key) == F.col("_k"), "left").withColumn("_part", F.coalesce(place, F.lit(0)).cast("long"))
+    hot = cut.where("_n is not null").drop("_k", "_n", "_lo", "_hi")
+    counts = hot.groupBy(F.col(key).alias("_k"), "_part").agg(F.count("*").alias("n"))
+    counts = counts.withColumn("through", F.sum("n").over(Window.partitionBy("_k").orderBy("_part")))  # a row a stretch
+    a, b = counts.alias("a"), counts.alias("b")
+    between = F.col("b.through") - F.col("b.n") - F.col("a.through")
+    needed = a.join(b, (F.col("a._k") == F.col("b._k")) & (F.col("a._part") < F.col("b._part")) & (between < before)).select("a._k", F.col("a._part").alias("_from"), F.col("b._part").alias("_to"), between.alias("_between"))
+    backwards = Window.partitionBy(key, "_part").orderBy(*(F.desc(c) for c in order))
+    ends = hot.withColumn("_r", F.row_number().over(backwards)).where(F.col("_r") <= before)
+    copies = ends.join(needed, (F.col(key) == F.col("_k")) & (F.col("_part") == F.col("_from"))).where(F.col("_r") + F.col("_between") <= before)
+    return cut.select(*rows.columns, "_part", F.lit(False).alias("_copy")).union(copies.select(*rows.columns, "_to", F.lit(True)))
+
+
+def rolling_mean(rows: DataFrame, key: str, order: str, value: str, last: int = 1000, most: int = MOST_ROWS) -> DataFrame:
     """Mean of the last rows of each key in order. A single global sequence has one key."""
-    return rows.withColumn("rolling_mean", F.avg(value).over(Window.partitionBy(key).orderBy(order).rowsBetween(-(last - 1), 0)))
+    mean = F.avg(value).over(Window.partitionBy(key, "_part").orderBy(order).rowsBetween(-(last - 1), 0))
+    return _stretches(rows, key, [order], last - 1, most).withColumn("rolling_mean", mean).where("not _copy").drop("_part", "_copy")
 
 
 def failure_streaks(logs: DataFrame, key: str, order: list[str], success: str = "success") -> DataFrame:
@@ -124,9 +154,11 @@ def failure_streaks(logs: DataFrame, key: str, order: list[str], success: str =
     return rows.withColumn("streak", run.cast("long")).withColumn("status", F.when(F.col("streak") >= 5, "degraded").when(F.col("streak") >= 3, "failed").otherwise("ok")).drop("_island")
 
 
-def gaps(rows: DataFrame, key: str, at: str, order: str) -> DataFrame:
+def gaps(rows: DataFrame, key: str, at: str, order: str, most: int = MOST_ROWS) -> DataFrame:
     """Seconds since the key's request before."""
-    return rows.withColumn("gap", (F.unix_micros(F.col(at).cast("timestamp")) - F.unix_micros(F.lag(at).over(Window.partitionBy(key).orderBy(at, order)).cast("timestamp"))) / 1e6)
+    before = F.lag(at).over(Window.partitionBy(key, "_part").orderBy(at, order))
+    gap = (F.unix_micros(F.col(at).cast("timestamp")) - F.unix_micros(before.cast("timestamp"))) / 1e6
+    return _stretches(rows, key, [at, order], 1, most).withColumn("gap", gap).where("not _copy").drop("_part", "_copy")
 
 
 def allowed_requests(rows: DataFrame, key: str, at: str, order: str, seconds: float) -> DataFrame:

@@ -260,3 +260,24 @@ def test_bloom_filter(spark):
     left = bloom.without_held(asked, "key", bloom.build(keys, "key", size), size).collect()
     assert all(r.n >= 1000 or r.n == -1 for r in left) and len([r for r in left if r.n >= 1000]) > 1930 and sum(r.n == -1 for r in left) == 1
     assert bloom.without_held(asked, "key", bloom.build(keys.limit(0), "key", size), size).count() == 3002
+
+
+@pytest.mark.parametrize("most", [10, 37, 10_000])
+def test_hot_keys_are_cut_without_a_change(spark, most):
+    """Means and gaps over stretches, uneven and empty ones too, equal those over whole keys."""
+    import random
+
+    rng = random.Random(most)
+    rows = [(rng.choice(("hot", "hot", "hot", "warm", None)), rng.choice((0, 5, 5, 100, 900)) + rng.randrange(90), k, rng.randrange(100) / 4) for k in range(400)] + [("one", 7, 1000, 1.0), ("same", 3, 1001, 2.0)] + [("same", 3, 1002 + k, 3.0) for k in range(50)]
+    rows = [(k, dt.datetime(2024, 1, 1) + dt.timedelta(seconds=t), n, v, t * 10_000 + n) for k, t, n, v in rows]
+    frame = spark.createDataFrame(rows, "key string, at timestamp, n int, v double, place long")
+    means = {r.n: r.rolling_mean for r in schedule.rolling_mean(frame, "key", "place", "v", 20, most).collect()}
+    apart = {r.n: r.gap for r in schedule.gaps(frame, "key", "at", "n", most).collect()}
+    assert len(means) == len(apart) == len(rows)
+    for key in {r[0] for r in rows}:
+        own = sorted((r for r in rows if r[0] == key), key=lambda r: r[4])
+        for k, r in enumerate(own):
+            assert means[r[2]] == pytest.approx(sum(x[3] for x in own[max(0, k - 19) : k + 1]) / min(k + 1, 20))
+        own.sort(key=lambda r: (r[1], r[2]))
+        for k, r in enumerate(own):
+            assert apart[r[2]] == ((r[1] - own[k - 1][1]).total_seconds() if k else None)
