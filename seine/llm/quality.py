@@ -30,6 +30,8 @@ BLOCK = 1000
 FAMILIES = {"signs": ("symbols", "plain", "letters", "wordless"), "case": ("capitals", "uppers", "shouts"), "repeats": ("lines", "repeats", "variety", "echoes"), "shapes": ("length", "odd_words")}
 RULES = tuple(k for family in FAMILIES.values() for k in family)
 ROUNDS = 200
+#: Rounds end when no share or rate moves by more.
+SETTLED = 1e-7
 #: Where the rounds start: the share of good texts, and how often a rule calls bad a text of its own family's class or of any other.
 START_GOOD = 0.9
 START_OWN = 0.6
@@ -149,15 +151,22 @@ class Model(NamedTuple):
     rates: list[list[float]]
 
 
-def classes(pattern: tuple[int, ...], model: Model) -> list[float]:
+def _logs(model: Model) -> list[tuple[float, list[tuple[float, float, float]]]]:
+    """Per class the logarithm of its share, and for each rule what an abstention, a good and a bad vote add (by -1 as an index)."""
+    return [(math.log(share), [(0.0, math.log(1 - r), math.log(r)) for r in rates]) for share, rates in zip(*model, strict=True)]
+
+
+def classes(pattern: tuple[int, ...], logs: list) -> list[float]:
     """The posterior probability of each class. An abstention says nothing about any."""
-    logs = [math.log(share) + sum(math.log(r if v < 0 else 1 - r) for v, r in zip(pattern, rates, strict=True) if v) for share, rates in zip(*model, strict=True)]
-    parts = [math.exp(x - max(logs)) for x in logs]
-    return [x / sum(parts) for x in parts]
+    sums = [share + sum(votes[v] for v, votes in zip(pattern, rules, strict=True)) for share, rules in logs]
+    most = max(sums)
+    parts = [math.exp(x - most) for x in sums]
+    total = sum(parts)
+    return [x / total for x in parts]
 
 
 def posterior(pattern: tuple[int, ...], model: Model) -> float:
-    return classes(pattern, model)[0]
+    return classes(pattern, _logs(model))[0]
 
 
 def _inside(rate: float) -> float:
@@ -192,15 +201,18 @@ def fit(counts: dict[tuple[int, ...], int], families: list[list[int]] | None = N
         total = [1.0] * len(model.shares)
         called = [[1.0] * n for _ in total]
         voted = [[2.0] * n for _ in total]
+        logs = _logs(model)
         for pattern, times in counts.items():
-            for c, p in enumerate(classes(pattern, model)):
+            for c, p in enumerate(classes(pattern, logs)):
                 total[c] += times * p
                 for k, v in enumerate(pattern):
                     if v:
                         voted[c][k] += times * p
                         called[c][k] += times * p * (v < 0)
         rates = [[_inside(a / b) for a, b in zip(x, y, strict=True)] for x, y in zip(called, voted, strict=True)]
-        model = Model([x / sum(total) for x in total], rates[:1] + [_raised(r, own) for r, own in zip(rates[1:], families, strict=True)])
+        before, model = model, Model([x / sum(total) for x in total], rates[:1] + [_raised(r, own) for r, own in zip(rates[1:], families, strict=True)])
+        if max(abs(a - b) for x, y in zip([before.shares, *before.rates], [model.shares, *model.rates], strict=True) for a, b in zip(x, y, strict=True)) < SETTLED:
+            break
     return model
 
 
