@@ -217,7 +217,7 @@ class TrigramIndex:
 
     def __init__(self, grams: set[bytes]):
         self.grams = sorted(grams)
-        self.slot = np.zeros(1 << 24, "u2")
+        self.slot = np.zeros(1 << 24, "u2" if len(self.grams) < 1 << 16 else "u4")
         for k, g in enumerate(self.grams):
             self.slot[g[0] << 16 | g[1] << 8 | g[2]] = k + 1
 
