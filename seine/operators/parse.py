@@ -131,6 +131,22 @@ def locate_jobs(body: Column, text_: Column) -> Column:
     return last["jobs"]
 
 
+def infer_schema(envelopes: DataFrame, body_col: str = "raw_json", least: float = 0.5) -> DataFrame:
+    """What a schema for an unknown platform could be: per field the alias that most of its jobs have, with their share.
+
+    ``field``, ``alias``, ``jobs`` (that have it), ``share``; of aliases that tie the first counts, and a
+    field that under ``least`` of the jobs have is left out.
+    """
+    rows = envelopes.select(F.col(body_col).alias("_body")).select("_body", F.try_parse_json("_body").alias("_doc")).where("_doc is not null")
+    jobs = rows.select(F.explode(locate_jobs(F.col("_doc"), F.col("_body"))).alias("_job"))
+    aliases = [(field, place, alias) for field, names in FIELD_ALIASES.items() for place, alias in enumerate(names)]
+    has = lambda field, alias: (jsons.nested_of if field == "location" else jsons.rounded_of)(jsons.inside(F.col("_job"), alias)) != ""
+    counts = jobs.agg(F.count("*").alias("n"), *(F.count_if(has(field, alias)).alias(f"c{k}") for k, (field, _, alias) in enumerate(aliases)))
+    listed = F.array(*(F.struct(F.lit(field).alias("field"), F.col(f"c{k}").alias("jobs"), F.lit(-place).alias("first"), F.lit(alias).alias("alias")) for k, (field, place, alias) in enumerate(aliases)))
+    best = counts.select("n", F.explode(listed).alias("x")).groupBy("x.field").agg(F.max(F.struct("x.jobs", "x.first", "x.alias", "n")).alias("b"))
+    return best.select("field", "b.alias", "b.jobs", F.round(F.col("b.jobs") / F.col("b.n"), 6).alias("share")).where(F.col("b.jobs") >= F.lit(least) * F.col("b.n")).where("jobs > 0")
+
+
 def parse_heuristic(envelopes: DataFrame, keep: list[str], body_col: str = "raw_json") -> DataFrame:
     """Rows of jobs by field aliases, from an envelope's JSON, which may also be a string of JSON.
 

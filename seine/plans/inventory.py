@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import jsons, rules, scoring, text, times, urls
 from ..operators import bloom, capturing, features, merge, parse, probing, reports, routing, schedule, urllists
-from ..sources import readers, writers
+from ..sources import acquire, readers, writers
 from ..streaming import pipelines
 from . import catalogue as C
 from . import tables as T
@@ -289,6 +289,26 @@ def parse_every_platform(spark, sf):
     return out.select("p_partkey", "platform", *(F.when(F.col("platform") == "lever", F.col(k)).alias(k) if k == "raw_json" else F.col(k).cast("timestamp_ntz").alias(k) if k == "posted_at" else k for k in parse.FIELDS))
 
 
+@query(f"""WITH {T.ITEMS}, n AS (SELECT count(*) n FROM items) SELECT field, alias, n jobs, 1.0::DOUBLE AS share FROM n, (VALUES ('external_job_id', 'id'), ('title', 'title'), ('location', 'location')) f(field, alias)""")
+def inferred_schema(spark, sf):
+    return parse.infer_schema(T.bodies(spark, sf).select(F.col("body").alias("raw_json")))
+
+
+@query("""SELECT DISTINCT url, CASE WHEN contains(url, '/fr/') OR contains(url, '/de/') THEN NULL ELSE 200 END AS status, CASE WHEN contains(url, '/fr/') OR contains(url, '/de/') THEN NULL ELSE url || ' body' END AS body, contains(url, '/fr/') AS timed_out,
+CASE WHEN contains(url, '/fr/') THEN 'slow' WHEN contains(url, '/de/') THEN 'ValueError: bad' END AS error FROM pages WHERE url IS NOT NULL""")
+def acquired_responses(spark, sf):
+    """Responses of a client that has no network."""
+    return acquire.acquire(T.read(spark, sf, "pages"), _client).select("url", "status", "body", "timed_out", "error")
+
+
+def _client(url: str) -> tuple[int, str, str]:
+    if "/fr/" in url:
+        raise TimeoutError("slow")
+    if "/de/" in url:
+        raise ValueError("bad")
+    return 200, "text/html", f"{url} body"
+
+
 PAD = "." * 600
 PROBES = [
     ("greenhouse", 200, "application/json", json.dumps({"jobs": [{"id": 1}, {"id": 2}], "pad": PAD[:100]}), True, 2), ("greenhouse", 200, "application/json", '{"jobs": []}', False, 0), ("greenhouse", 404, "application/json", json.dumps({"jobs": [{}], "pad": PAD}), False, 0),
