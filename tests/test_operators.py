@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 from seine.functions import text
-from seine.operators import bloom, capturing, features, merge, reports, routing, schedule, urllists
+from seine.operators import bloom, capturing, features, merge, parse, reports, routing, schedule, urllists
 from seine.plans import catalogue
 from seine.sources import readers, writers
 from seine.streaming import pipelines
@@ -281,3 +281,24 @@ def test_hot_keys_are_cut_without_a_change(spark, most):
         own.sort(key=lambda r: (r[1], r[2]))
         for k, r in enumerate(own):
             assert apart[r[2]] == ((r[1] - own[k - 1][1]).total_seconds() if k else None)
+
+
+def test_acquisition_keeps_each_error_with_its_url(spark):
+    from seine.sources.acquire import acquire
+
+    def fetch(url):
+        if "slow" in url:
+            raise TimeoutError("too long")
+        return {"big": (200, "text/html", "é" * 40), "none": (204, "", None)}.get(url.rsplit("/", 1)[1], (200, "application/json", "{}"))
+
+    rows = spark.createDataFrame([(u, 1) for u in ("https://a/x", "https://a/x", "https://a/slow", "https://b/big", "https://b/none", None)], "url string, error int")
+    got = {r.url: (r.status, r.body, r.timed_out, r.error) for r in acquire(rows, fetch, most_bytes=50).collect()}
+    assert got == {"https://a/x": (200, "{}", False, None), "https://a/slow": (None, None, True, "too long"), "https://b/big": (200, None, False, "too large"), "https://b/none": (204, None, False, None)}
+    assert acquire(rows.limit(0), fetch).count() == 0
+
+
+def test_inferred_schema_of_mixed_jobs(spark):
+    bodies = ['{"jobs": [{"req_id": 1, "jobTitle": "a", "office": {"name": "x"}}, {"req_id": "", "jobTitle": "b", "url": "u"}]}', '{"data": {"items": [{"req_id": 2, "name": "c", "city": "y"}]}}', "broken", None, "[]"]
+    got = {r.field: (r.alias, r.jobs, r.share) for r in parse.infer_schema(spark.createDataFrame([(b,) for b in bodies], "raw_json string")).collect()}
+    assert got == {"external_job_id": ("req_id", 2, 0.666667), "title": ("jobTitle", 2, 0.666667)}
+    assert parse.infer_schema(spark.createDataFrame([], "raw_json string")).count() == 0
