@@ -115,20 +115,27 @@ def near_miss_queue(near: DataFrame, limit: int | None = None) -> DataFrame:
 MOST_ROWS = 1_000_000
 
 
-def _stretches(rows: DataFrame, key: str, order: list[str], before: int, most: int) -> DataFrame:
-    """Rows with ``_part``, and before each stretch of a hot key copies (``_copy``) of the rows that precede it.
+def _cut(rows: DataFrame, key: str, order: list[str], most: int) -> DataFrame:
+    """Rows with ``_part`` and ``_hot``: a key of over ``most`` rows is cut at equal widths of its order.
 
-    A key of over ``most`` rows is cut at equal widths of the first order column, a number or a
-    time, so where a row goes follows from counts and bounds alone. What follows may sort each
-    (key, ``_part``) by itself and then leave the copies out.
+    The first order column, a number or a time, decides, so where a row goes follows from counts
+    and bounds alone. A null key is one part.
     """
     first = F.col(order[0])
     at = (F.unix_micros(first.cast("timestamp")) if rows.schema[order[0]].dataType.typeName().startswith("timestamp") else first).cast("double")
     spans = rows.groupBy(F.col(key).alias("_k")).agg(F.count("*").alias("_n"), F.min(at).alias("_lo"), F.max(at).alias("_hi")).where(F.col("_n") > most)
     parts = F.ceil(F.col("_n") / most)
     place = F.when(F.col("_hi") > F.col("_lo"), F.least(F.floor((at - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * parts), parts - 1))
-    cut = rows.join(spans, F.col(key) == F.col("_k"), "left").withColumn("_part", F.coalesce(place, F.lit(0)).cast("long"))
-    hot = cut.where("_n is not null").drop("_k", "_n", "_lo", "_hi")
+    return rows.join(spans, F.col(key) == F.col("_k"), "left").select(*rows.columns, F.coalesce(place, F.lit(0)).cast("long").alias("_part"), F.col("_n").isNotNull().alias("_hot"))
+
+
+def _stretches(rows: DataFrame, key: str, order: list[str], before: int, most: int) -> DataFrame:
+    """Rows with ``_part``, and before each stretch of a hot key copies (``_copy``) of the rows that precede it.
+
+    What follows may sort each (key, ``_part``) by itself and then leave the copies out.
+    """
+    cut = _cut(rows, key, order, most)
+    hot = cut.where("_hot").drop("_hot")
     counts = hot.groupBy(F.col(key).alias("_k"), "_part").agg(F.count("*").alias("n"))
     counts = counts.withColumn("through", F.sum("n").over(Window.partitionBy("_k").orderBy("_part")))  # a row a stretch
     a, b = counts.alias("a"), counts.alias("b")
@@ -146,12 +153,22 @@ def rolling_mean(rows: DataFrame, key: str, order: str, value: str, last: int =
     return _stretches(rows, key, [order], last - 1, most).withColumn("rolling_mean", mean).where("not _copy").drop("_part", "_copy")
 
 
-def failure_streaks(logs: DataFrame, key: str, order: list[str], success: str = "success") -> DataFrame:
-    """Failures in a row up to each log row; a success sets the count to 0."""
-    w = Window.partitionBy(key).orderBy(*order)
-    rows = logs.withColumn("_island", F.sum(F.col(success).cast("int")).over(w))
-    run = F.sum((~F.col(success)).cast("int")).over(Window.partitionBy(key, "_island").orderBy(*order))
-    return rows.withColumn("streak", run.cast("long")).withColumn("status", F.when(F.col("streak") >= 5, "degraded").when(F.col("streak") >= 3, "failed").otherwise("ok")).drop("_island")
+def failure_streaks(logs: DataFrame, key: str, order: list[str], success: str = "success", most: int = MOST_ROWS) -> DataFrame:
+    """Failures in a row up to each log row; a success sets the count to 0.
+
+    Counted in each stretch of a key by itself; a hot key's stretches then get, till their first
+    success, what the stretches before ended with.
+    """
+    rows = _cut(logs, key, order, most).withColumn("_island", F.sum(F.col(success).cast("int")).over(Window.partitionBy(key, "_part").orderBy(*order)))
+    run = F.sum((~F.col(success)).cast("int")).over(Window.partitionBy(key, "_part", "_island").orderBy(*order))
+    rows = rows.withColumn("_run", run.cast("long"))
+    ends = rows.where("_hot").groupBy(F.col(key).alias("_k"), F.col("_part").alias("_p")).agg(F.max("_island").alias("good"), F.max_by("_run", F.struct(*order)).alias("last"))
+    by = Window.partitionBy("_k").orderBy("_p")  # a row a stretch
+    ends = ends.withColumn("since", F.sum((F.col("good") > 0).cast("int")).over(by))
+    ends = ends.withColumn("open", F.sum("last").over(Window.partitionBy("_k", "since").orderBy("_p"))).select("_k", "_p", F.lag("open").over(by).alias("_carry"))
+    rows = rows.join(ends, (F.col(key) == F.col("_k")) & (F.col("_part") == F.col("_p")), "left")
+    rows = rows.withColumn("streak", F.col("_run") + F.when(F.col("_island") == 0, F.coalesce("_carry", F.lit(0))).otherwise(0))
+    return rows.select(*logs.columns, "streak", F.when(F.col("streak") >= 5, "degraded").when(F.col("streak") >= 3, "failed").otherwise("ok").alias("status"))
 
 
 def gaps(rows: DataFrame, key: str, at: str, order: str, most: int = MOST_ROWS) -> DataFrame:

@@ -262,6 +262,21 @@ def test_bloom_filter(spark):
     assert bloom.without_held(asked, "key", bloom.build(keys.limit(0), "key", size), size).count() == 3002
 
 
+@pytest.mark.parametrize("most", [10, 37, 10_000])
+def test_streaks_go_on_over_the_stretches_of_a_hot_key(spark, most):
+    import random
+
+    rng = random.Random(most)
+    rows = [(rng.choice(("hot", "hot", "hot", "warm")), rng.choice((0, 500, 500, 900)) + rng.randrange(300), k, rng.random() < 0.15) for k in range(400)] + [("same", 3, 2000 + k, False) for k in range(40)] + [("good", k, 3000 + k, True) for k in range(40)]
+    rows = [(k, dt.datetime(2024, 1, 1) + dt.timedelta(seconds=t), n, ok) for k, t, n, ok in rows]
+    got = {r.n: (r.streak, r.status) for r in schedule.failure_streaks(spark.createDataFrame(rows, "key string, at timestamp, n int, success boolean"), "key", ["at", "n"], most=most).collect()}
+    streak = {}
+    for key, _, n, ok in sorted(rows, key=lambda r: r[:3]):
+        streak[key] = 0 if ok else streak.get(key, 0) + 1
+        assert got[n] == (streak[key], "degraded" if streak[key] >= 5 else "failed" if streak[key] >= 3 else "ok")
+    assert len(got) == len(rows)
+
+
 @pytest.mark.parametrize("most", [10, 37, 10_000])
 def test_hot_keys_are_cut_without_a_change(spark, most):
     """Means and gaps over stretches, uneven and empty ones too, equal those over whole keys."""
