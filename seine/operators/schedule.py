@@ -159,10 +159,12 @@ def failure_streaks(logs: DataFrame, key: str, order: list[str], success: str =
     Counted in each stretch of a key by itself; a hot key's stretches then get, till their first
     success, what the stretches before ended with.
     """
-    rows = _cut(logs, key, order, most).withColumn("_island", F.sum(F.col(success).cast("int")).over(Window.partitionBy(key, "_part").orderBy(*order)))
+    island = F.sum(F.col(success).cast("int")).over(Window.partitionBy(key, "_part").orderBy(*order))
     run = F.sum((~F.col(success)).cast("int")).over(Window.partitionBy(key, "_part", "_island").orderBy(*order))
-    rows = rows.withColumn("_run", run.cast("long"))
-    ends = rows.where("_hot").groupBy(F.col(key).alias("_k"), F.col("_part").alias("_p")).agg(F.max("_island").alias("good"), F.max_by("_run", F.struct(*order)).alias("last"))
+    counted = lambda some: some.withColumn("_island", island).withColumn("_run", run.cast("long"))
+    cut = _cut(logs, key, order, most)
+    rows = counted(cut)
+    ends = counted(cut.where("_hot")).groupBy(F.col(key).alias("_k"), F.col("_part").alias("_p")).agg(F.max("_island").alias("good"), F.max_by("_run", F.struct(*order)).alias("last"))
     by = Window.partitionBy("_k").orderBy("_p")  # a row a stretch
     ends = ends.withColumn("since", F.sum((F.col("good") > 0).cast("int")).over(by))
     ends = ends.withColumn("open", F.sum("last").over(Window.partitionBy("_k", "since").orderBy("_p"))).select("_k", "_p", F.lag("open").over(by).alias("_carry"))
